@@ -58,7 +58,7 @@ if __name__ == "__main__":
     from tierforge.session import build_session
 
     sf = f"/root/testdata/sf{sys.argv[1]}"
-    session = build_session("compare", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false")
+    session = build_session("compare", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",spark__ui__showConsoleProgress="false")
     session.sparkContext.setLogLevel("ERROR")
     twin = connect(sf)
     bad = 0

@@ -15,6 +15,7 @@ def spark(tmp_path_factory):
         master="local[*]",
         spark__sql__shuffle__partitions="8",
         spark__ui__enabled="false",
+        spark__ui__showConsoleProgress="false",
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
         spark__driver__memory="4g",
     )

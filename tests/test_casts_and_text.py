@@ -158,3 +158,29 @@ def test_delay_features(spark):
     )
     got = delay_features(df, "s", "d", "a").orderBy("i").collect()
     assert [tuple(r)[4:] for r in got] == [(9, 9, 0, False), (9, 11, 2, True), (None, 9, None, False)]
+
+
+AWKWARD = [
+    "5", " 5 ", "\t5\n", "+5", "-5", "--5", "5.0", "5.", ".5", "1e3", "", " ", "abc", "5 5", "٣", "\u00005",
+    " 5", "99999999999", "2147483647", "-2147483648", "007", "0x1F", "NaN", None, "5\u007f", "1_000",
+]
+
+
+def test_guarded_integers_are_what_a_plain_cast_reads(spark):
+    df = texts(spark, *AWKWARD)
+    for kind in ("int", "bigint"):
+        plain = df.withColumn("t", F.col("t").try_cast(kind))
+        assert column(cast_columns(df, {"t": kind})) == column(plain)
+
+
+def test_guarded_timestamps_are_what_the_format_reads(spark):
+    df = texts(
+        spark, "2017-10-02 10:56:33", "2017-02-29 00:00:00", "2016-02-29 00:00:00", "2017-10-02 24:00:00",
+        "2017-10-02 23:59:60", "2017-10-02T10:56:33", " 2017-10-02 10:56:33", "2017-10-02 10:56:33 ",
+        "2017-10-02 10:56:33Z", "2017-10-02 10:56", "9999-12-31 23:59:59", "1000-01-01 00:00:00",
+        "2017-10-02  0:56:33", "2017-00-02 10:56:33", "+2017-10-02 10:56:33", "12017-10-02 10:56:33", None, "",
+    )
+    by_format = df.withColumn("t", F.try_to_timestamp("t", F.lit("yyyy-MM-dd HH:mm:ss")))
+    assert column(parse_timestamps(df, ["t"])) == column(by_format)
+    day = texts(spark, "02/10/2017", "2017-10-02")
+    assert column(parse_timestamps(day, ["t"], fmt="dd/MM/yyyy")) == [datetime(2017, 10, 2), None]

@@ -121,3 +121,51 @@ def test_dedupe_against_brute_force(spark, data, parts):
         if row[0] not in best or tuple(map(rank, row)) > tuple(map(rank, best[row[0]])):
             best[row[0]] = row
     assert [tuple(map(rank, r)) for r in got] == [tuple(map(rank, best[k])) for k in sorted(best)]
+
+
+@pytest.fixture
+def skewed(spark, tmp_path):
+    """A table in which one key and NULL hold a third of the rows each; small skew limits."""
+    limits = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+    }
+    for name, value in limits.items():
+        spark.conf.set(name, value)
+    path = str(tmp_path / "skewed")
+    rows = spark.range(0, 60000, 1, 8).selectExpr(
+        "case id % 3 when 0 then 'hot' when 1 then null else concat('k', id % 1000) end as k", "uuid() as v"
+    )
+    rows.write.parquet(path)
+    yield spark.read.parquet(path)
+    for name in limits:
+        spark.conf.unset(name)
+
+
+def ran(df):
+    """The final plan, after AQE."""
+    df.write.format("noop").mode("overwrite").save()
+    rows = df.groupBy().count()
+    rows.collect()
+    return plan(rows)
+
+
+@pytest.mark.parametrize("join", ["lookup", "fk", "orphans", "translate", "totals"])
+def test_hot_left_keys_are_split(spark, skewed, join):
+    dim = spark.range(0, 1000, 1, 8).selectExpr("concat('k', id) as k", "cast(id as string) as label").union(
+        spark.sql("select 'hot', 'x'")
+    )
+    from tierforge.operators import check_fk, fk_orphans
+
+    joined = {
+        "lookup": lambda: left_lookup(skewed, dim, "k"),
+        "fk": lambda: check_fk(skewed, dim.union(dim), "k"),
+        "orphans": lambda: fk_orphans(skewed, dim.filter("k <> 'hot'"), "k"),
+        "translate": lambda: translate(skewed, dim.union(dim), "k", "label", "out"),
+        "totals": lambda: join_preaggregated(skewed, dim, "k", {"n": F.count(F.lit(1))}),
+    }[join]()
+    expected = 20000 if join == "orphans" else 60000
+    assert joined.count() == expected
+    assert "skew" in ran(joined), plan(joined)

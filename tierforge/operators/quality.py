@@ -9,6 +9,8 @@ from typing import Any, NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tierforge.operators.lookup import spread
+
 REASONS = "reject_reasons"
 
 
@@ -32,12 +34,13 @@ def not_null(cols: Iterable[str]) -> Column:
 def in_range(col: str, low: Any = None, high: Any = None) -> Column:
     """Non-null and within the bounds; ``None`` leaves a side open."""
     value = F.col(col)
-    inside = value.isNotNull()
+    bounds = []
     if low is not None:
-        inside = inside & (value >= low)
+        bounds.append(value >= low)
     if high is not None:
-        inside = inside & (value <= high)
-    return inside
+        bounds.append(value <= high)
+    # A NULL is within no bound, so it needs no test of its own.
+    return reduce(Column.__and__, bounds or [value.isNotNull()])
 
 
 def matches(col: str, regex: str, allow_null: bool = True, allow_blank: bool = True) -> Column:
@@ -151,7 +154,9 @@ def check_fk(
     ``on`` names shared columns, or maps columns of ``df`` to columns of ``dim``.
     """
     pairs = _key_pairs(on)
-    present = _referenced(dim, pairs).distinct().withColumn("__fk_found", F.lit(True))
+    referenced = _referenced(dim, pairs)
+    keys = referenced.columns
+    present = referenced.groupBy(*keys, spread(*keys)).agg(F.lit(True).alias("__fk_found")).drop("__spread")
     joined = df.join(present, _same_key(df, pairs), "left")
     flagged = joined.withColumn(out, F.coalesce("__fk_found", F.lit(False)))
     return flagged.drop("__fk_found", *[f"__fk_{here}" for here in pairs])

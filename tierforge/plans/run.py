@@ -19,6 +19,7 @@ from tierforge.plans.silver import (
     prepare,
     silver_metrics,
 )
+from tierforge.session import side_by_side
 from tierforge.sinks.layers import publish_table, write_layer
 from tierforge.sources.ingest import ingest_all
 from tierforge.sources.tables import layer_path, read_table_or_path
@@ -91,6 +92,11 @@ def _run_silver(lake: _Lake, name: str, money: str) -> list[tuple[str, str, str,
     ]
 
 
+def _run_gold(lake: _Lake, name: str) -> None:
+    report, inputs = REPORTS[name]
+    lake.write(report(*[lake.read(table) for table in inputs]), name)
+
+
 def run_pipeline(
     spark: SparkSession,
     raw_dir: str,
@@ -100,24 +106,23 @@ def run_pipeline(
     database: str | None = "default",
     money: str = MONEY,
     strict: bool = True,
+    threads: int = 4,
 ) -> PipelineResult:
     """Raw CSV files to checked gold tables. Every run replaces all tables.
 
     ``database`` names the catalog database to publish silver and gold tables in;
     ``None`` leaves the catalog alone. ``money`` is ``decimal(18,2)`` or, for amounts
-    as approximate numbers, ``double`` or ``float``.
+    as approximate numbers, ``double`` or ``float``. Tables of one layer do not depend
+    on each other; ``threads`` of them are computed at a time.
     """
     lake = _Lake(spark, lake_dir, database)
     manifest = retail_manifest() if manifest is None else manifest
-    ingest = ingest_all(spark, manifest, raw_dir, lake.dirs["bronze"], strict=strict)
-    metrics = []
-    for name in SILVER:
-        metrics += _run_silver(lake, name, money)
-    for name, (report, inputs) in REPORTS.items():
-        lake.write(report(*[lake.read(table) for table in inputs]), name)
+    ingest = ingest_all(spark, manifest, raw_dir, lake.dirs["bronze"], strict, threads)
+    counted = side_by_side(spark, lambda name: _run_silver(lake, name, money), SILVER, threads)
+    side_by_side(spark, lambda name: _run_gold(lake, name), REPORTS, threads)
     checks = output_check(
         spark,
         {name: (lake.path(name), keys) for name, keys in TABLE_KEYS.items()},
         nullable_keys=[name for name in TABLE_KEYS if name.startswith("gold_")],
     )
-    return PipelineResult(ingest, spark.createDataFrame(metrics, METRICS_SCHEMA), checks)
+    return PipelineResult(ingest, spark.createDataFrame(sum(counted, []), METRICS_SCHEMA), checks)

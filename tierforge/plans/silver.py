@@ -250,7 +250,7 @@ PRODUCTS = SilverTable(
     source="bronze_products",
     columns=("product_category_name", "product_id", *_COUNTS, *_SIZES),
     casts=lambda money: {
-        **{name: lambda value: blank_as_null(value).try_cast("int") for name in _COUNTS},
+        **{name: lambda value: to_type("int")(blank_as_null(value)) for name in _COUNTS},
         **{name: blank_as_value("double", 0.0) for name in _SIZES},
     },
     rules=lambda: [Rule("product_id", not_null(["product_id"]))],

@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 # What the semantics of the library rest on; the cluster keeps its own sizing.
@@ -41,3 +45,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         base = tempfile.gettempdir()
     return f"{base.rstrip('/')}/tierforge-{uuid.uuid4().hex}/{name}"
+
+
+def side_by_side(
+    spark: SparkSession, task: Callable[[Any], Any], items: Iterable[Any], threads: int
+) -> list:
+    """Results of ``task`` for independent ``items``, whose Spark jobs may overlap.
+
+    A table's last tasks then share the cluster with the next table's first ones.
+    """
+    with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(task), items))

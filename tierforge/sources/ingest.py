@@ -8,6 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierforge.session import side_by_side
 from tierforge.sinks.layers import write_layer
 from tierforge.sources.raw_csv import CORRUPT, read_raw_csv
 from tierforge.sources.tables import layer_path, read_layer
@@ -42,21 +43,24 @@ def ingest_all(
     raw_dir: str,
     bronze_dir: str,
     strict: bool = False,
+    threads: int = 4,
     **options,
 ) -> DataFrame:
     """Lands every ``(file, table[, multiline])`` of the manifest; a failing file stops no other.
 
     Returns one status row per file: ``rows``, ``cols``, ``corrupt`` (rows with a wrong
     number of fields) or ``error``. With ``strict`` any error raises, after all files
-    were tried. ``options`` go to ``read_raw_csv``.
+    were tried. ``threads`` files are landed at a time; ``options`` go to ``read_raw_csv``.
     """
-    status = []
-    for entry in (IngestEntry(*item) for item in manifest):
+
+    def attempt(entry: IngestEntry) -> tuple:
         try:
-            rows, cols, corrupt = _ingest_one(spark, entry, raw_dir, bronze_dir, options)
-            status.append((entry.file, entry.table, rows, cols, corrupt, None))
+            counts = _ingest_one(spark, entry, raw_dir, bronze_dir, options)
+            return (entry.file, entry.table, *counts, None)
         except Exception as error:
-            status.append((entry.file, entry.table, None, None, None, str(error).split("\n")[0]))
+            return (entry.file, entry.table, None, None, None, str(error).split("\n")[0])
+
+    status = side_by_side(spark, attempt, [IngestEntry(*item) for item in manifest], threads)
     failed = [f"{file}: {error}" for file, *_, error in status if error is not None]
     if strict and failed:
         raise RuntimeError("files not ingested: " + "; ".join(failed))
