@@ -234,3 +234,22 @@ def test_doubtful_observed_counts_are_replaced(spark, tmp_path, raw_dir, monkeyp
     twice = property(lambda self: {"rows_in": 99, "rows_kept": 99})
     monkeypatch.setattr(Observation, "get", twice)
     assert sorted(_run_silver(lake, "silver_order_items", "decimal(18,2)")) == trusted
+
+
+def test_step_by_step_from_the_command_line(spark, tmp_path, raw_dir, rows, capsys):
+    from tierforge.__main__ import main
+
+    lake = str(tmp_path / "lake")
+    main(["bronze", "--raw", raw_dir, "--lake", lake])
+    main(["silver", "--lake", lake, "--database", ""])
+    main(["silver", "silver_orders", "--lake", lake, "--database", ""])
+    main(["gold", "--lake", lake, "--database", ""])
+    main(["gold", "gold_payment_method", "--lake", lake, "--database", "", "--threads", "1"])
+    main(["check", "--lake", lake])
+    shown = capsys.readouterr().out
+    assert all(title in shown for title in ("ingest", "metrics", "profiles", "checks"))
+    assert "|is_delayed" in shown
+    for name, expected in GOLD.items():
+        assert rows(spark.read.parquet(f"{lake}/gld/{name}")) == sorted(expected, key=str), name
+    with pytest.raises(SystemExit):
+        main(["run", "--lake", lake])

@@ -9,7 +9,14 @@ from tierforge.plans.gold import (
     top_products,
 )
 from tierforge.plans.profiles import PROFILES
-from tierforge.plans.run import PipelineResult, run_pipeline
+from tierforge.plans.run import (
+    PipelineResult,
+    run_checks,
+    run_gold,
+    run_pipeline,
+    run_profiles,
+    run_silver,
+)
 from tierforge.plans.silver import (
     SILVER,
     build_silver_customers,
@@ -40,7 +47,11 @@ __all__ = [
     "region_revenue",
     "retail_manifest",
     "review_by_delivery",
+    "run_checks",
+    "run_gold",
     "run_pipeline",
+    "run_profiles",
+    "run_silver",
     "silver_metrics",
     "top_products",
 ]

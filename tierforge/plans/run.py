@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from tierforge.functions.casts import MONEY
 from tierforge.plans import gold
 from tierforge.plans.bronze import retail_manifest
 from tierforge.plans.checks import TABLE_KEYS, output_check
+from tierforge.plans.profiles import PROFILES
 from tierforge.plans.silver import (
     METRICS_SCHEMA,
     SILVER,
@@ -97,6 +100,53 @@ def _run_gold(lake: _Lake, name: str) -> None:
     lake.write(report(*[lake.read(table) for table in inputs]), name)
 
 
+def run_silver(
+    spark: SparkSession,
+    lake_dir: str,
+    *,
+    tables: Iterable[str] = tuple(SILVER),
+    database: str | None = "default",
+    money: str = MONEY,
+    threads: int = 4,
+) -> DataFrame:
+    """Bronze to silver; returns the metrics ``table``, ``metric``, ``item``, ``value``."""
+    lake = _Lake(spark, lake_dir, database)
+    counted = side_by_side(spark, lambda name: _run_silver(lake, name, money), tables, threads)
+    return spark.createDataFrame(sum(counted, []), METRICS_SCHEMA)
+
+
+def run_gold(
+    spark: SparkSession,
+    lake_dir: str,
+    *,
+    reports: Iterable[str] = tuple(REPORTS),
+    database: str | None = "default",
+    threads: int = 4,
+) -> None:
+    """Silver to gold."""
+    lake = _Lake(spark, lake_dir, database)
+    side_by_side(spark, lambda name: _run_gold(lake, name), reports, threads)
+
+
+def run_checks(spark: SparkSession, lake_dir: str) -> DataFrame:
+    """One row per silver and gold table with what ``output_check`` finds."""
+    lake = _Lake(spark, lake_dir, None)
+    return output_check(
+        spark,
+        {name: (lake.path(name), keys) for name, keys in TABLE_KEYS.items()},
+        nullable_keys=tuple(REPORTS),
+    )
+
+
+def run_profiles(
+    spark: SparkSession, lake_dir: str, *, tables: Iterable[str] = tuple(SILVER), database: str | None = "default"
+) -> DataFrame:
+    """Profiles of silver tables: ``table`` and the columns of ``profile_table``."""
+    lake = _Lake(spark, lake_dir, database)
+    profiles = [PROFILES[name](lake.read(name)).select(F.lit(name).alias("table"), "*") for name in tables]
+    return reduce(DataFrame.unionByName, profiles)
+
+
 def run_pipeline(
     spark: SparkSession,
     raw_dir: str,
@@ -115,14 +165,9 @@ def run_pipeline(
     as approximate numbers, ``double`` or ``float``. Tables of one layer do not depend
     on each other; ``threads`` of them are computed at a time.
     """
-    lake = _Lake(spark, lake_dir, database)
     manifest = retail_manifest() if manifest is None else manifest
-    ingest = ingest_all(spark, manifest, raw_dir, lake.dirs["bronze"], strict, threads)
-    counted = side_by_side(spark, lambda name: _run_silver(lake, name, money), SILVER, threads)
-    side_by_side(spark, lambda name: _run_gold(lake, name), REPORTS, threads)
-    checks = output_check(
-        spark,
-        {name: (lake.path(name), keys) for name, keys in TABLE_KEYS.items()},
-        nullable_keys=[name for name in TABLE_KEYS if name.startswith("gold_")],
-    )
-    return PipelineResult(ingest, spark.createDataFrame(sum(counted, []), METRICS_SCHEMA), checks)
+    bronze_dir = layer_path(lake_dir, LAYERS["bronze"])
+    ingest = ingest_all(spark, manifest, raw_dir, bronze_dir, strict, threads)
+    metrics = run_silver(spark, lake_dir, database=database, money=money, threads=threads)
+    run_gold(spark, lake_dir, database=database, threads=threads)
+    return PipelineResult(ingest, metrics, run_checks(spark, lake_dir))
