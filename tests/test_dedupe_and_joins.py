@@ -136,11 +136,13 @@ def test_dedupe_against_brute_force(spark, data, parts):
 def skewed(spark, tmp_path):
     """A table in which one key and NULL hold a third of the rows each; small skew limits."""
     limits = {
+        "spark.sql.shuffle.partitions": "8",
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
     }
+    before = {name: spark.conf.get(name) for name in limits}
     for name, value in limits.items():
         spark.conf.set(name, value)
     path = str(tmp_path / "skewed")
@@ -149,8 +151,8 @@ def skewed(spark, tmp_path):
     )
     rows.write.parquet(path)
     yield spark.read.parquet(path)
-    for name in limits:
-        spark.conf.unset(name)
+    for name, value in before.items():
+        spark.conf.set(name, value)
 
 
 def splits_skew(df):
