@@ -3,7 +3,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from tierforge.functions import loses_digits, to_timestamp
+from tierforge.functions import to_timestamp, was_rounded
 from tierforge.operators import (
     blank_to_null,
     cast_columns,
@@ -73,13 +73,15 @@ def test_doubles_and_floats(spark):
 
 
 def test_rounded_amounts_are_seen(spark):
-    df = texts(spark, "10.99", "10.999", "1e3", "x", None)
-    assert column(df.withColumn("t", loses_digits(F.col("t"), "decimal(18,2)"))) == [
+    df = texts(spark, "10.99", "10.999", "1e3", "x", None, "10.990", "1e-3")
+    assert column(df.withColumn("t", was_rounded(F.col("t"), F.col("t").try_cast("decimal(18,2)")))) == [
         False,
         True,
         False,
         False,
         False,
+        False,
+        True,
     ]
 
 

@@ -4,9 +4,9 @@ from tierforge.functions.casts import (
     blank_as_null,
     blank_as_value,
     is_missing,
-    loses_digits,
     to_timestamp,
     to_type,
+    was_rounded,
 )
 from tierforge.functions.dates import calendar_days, label_on_time, month_text, true_or_false
 from tierforge.functions.text import any_text, clean_text, map_codes
@@ -21,10 +21,10 @@ __all__ = [
     "clean_text",
     "is_missing",
     "label_on_time",
-    "loses_digits",
     "map_codes",
     "month_text",
     "to_timestamp",
     "to_type",
     "true_or_false",
+    "was_rounded",
 ]

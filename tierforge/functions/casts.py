@@ -59,7 +59,7 @@ def blank_as_value(data_type: str, default: Any) -> Converter:
     return lambda value: F.when(is_missing(value), F.lit(default).cast(data_type)).otherwise(read(value))
 
 
-def loses_digits(value: Column, data_type: str) -> Column:
-    """True where the text has more fraction digits than the decimal type keeps."""
-    wide = value.try_cast("decimal(38,18)")
-    return F.coalesce(wide != value.try_cast(data_type), F.lit(False))
+def was_rounded(text: Column, amount: Column) -> Column:
+    """True where a decimal ``amount`` is not all that its ``text`` says."""
+    may_be_finer = text.rlike(r"[eE]|\.\d{3}")
+    return F.coalesce(may_be_finer & (text.try_cast("decimal(38,18)") != amount), F.lit(False))

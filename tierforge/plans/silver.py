@@ -18,9 +18,9 @@ from tierforge.functions.casts import (
     blank_as_null,
     blank_as_value,
     is_missing,
-    loses_digits,
     to_timestamp,
     to_type,
+    was_rounded,
 )
 from tierforge.operators.dedupe import dedupe_latest
 from tierforge.operators.features import delay_features
@@ -318,7 +318,7 @@ def counters(table: SilverTable, money: str = MONEY) -> list[Column]:
             F.count_if(~is_missing(text) & F.col(name).isNull()).alias(f"malformed:{name}")
         )
         if name in table.amounts and money.startswith("decimal"):
-            aggregates.append(F.count_if(loses_digits(text, money)).alias(f"rounded:{name}"))
+            aggregates.append(F.count_if(was_rounded(text, F.col(name))).alias(f"rounded:{name}"))
     return aggregates
 
 

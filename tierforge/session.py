@@ -16,6 +16,8 @@ SESSION_SETTINGS = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Join by hash, without sorting, where AQE has measured every partition to be small.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.legacy.timeParserPolicy": "CORRECTED",
     "spark.sql.session.timeZone": "UTC",
 }
