@@ -15,7 +15,7 @@ from tierforge.functions import to_timestamp
 from tierforge.plans.checks import key_check
 from tierforge.plans.run import LAYERS
 from tierforge.session import scratch_path
-from tierforge.sinks import publish_table, write_layer
+from tierforge.sinks import preview, publish_table, write_layer
 from tierforge.sources import CORRUPT, ingest_all, read_layer, read_table_or_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -281,6 +281,40 @@ def _(spark, sf):
     return report
 
 
+# --- projections ---------------------------------------------------------------------
+
+
+@query(
+    "projection",
+    """SELECT o_orderkey AS order_id, 'retail' AS channel, CAST(1 AS INTEGER) AS version, true AS is_live,
+              CAST(NULL AS VARCHAR) AS note, CAST(CAST(o_totalprice AS DECIMAL(18, 2)) * 2 AS DOUBLE) AS twice
+       FROM orders WHERE o_orderstatus <> 'P' AND NOT (o_totalprice <= 1000 OR o_totalprice > 400000)""",
+)
+def _(spark, sf):
+    price = F.col("o_totalprice")
+    orders = table(spark, sf, "orders").filter(
+        (F.col("o_orderstatus") != "P") & ~((price <= 1000) | (price > 400000))
+    )
+    derived = orders.withColumns(
+        {
+            "channel": F.lit("retail"),
+            "version": F.lit(1),
+            "is_live": F.lit(True),
+            "note": F.lit(None).cast("string"),
+            "twice": price.cast("decimal(18,2)") * 2,
+            "helper": price + 1,
+        }
+    ).drop("helper")
+    return derived.select(
+        F.col("o_orderkey").alias("order_id"), "channel", "version", "is_live", "note", "twice"
+    )
+
+
+@query("preview", "SELECT least(count(*), 5) AS total FROM lineitem")
+def _(spark, sf):
+    return ops.row_count(preview(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"], 5))
+
+
 # --- casts and text ------------------------------------------------------------------
 
 
@@ -588,6 +622,18 @@ def _(spark, sf):
     return ops.left_lookup(suppliers, known, "s_nationkey", ["n_name"])
 
 
+@query(
+    "chained_lookups",
+    """SELECT c_custkey, n_name, r_name FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
+       LEFT JOIN region ON n_regionkey = r_regionkey AND r_regionkey > 0""",
+)
+def _(spark, sf):
+    nations = table(spark, sf, "nation").withColumnRenamed("n_nationkey", "c_nationkey")
+    regions = table(spark, sf, "region").filter("r_regionkey > 0").withColumnRenamed("r_regionkey", "n_regionkey")
+    named = ops.left_lookup(table(spark, sf, "customer"), nations, "c_nationkey", ["n_name", "n_regionkey"])
+    return ops.left_lookup(named, regions, "n_regionkey").select("c_custkey", "n_name", "r_name")
+
+
 @query(
     "joined_totals",
     """SELECT o_orderkey AS order_id, any_value(o_custkey) AS customer_id, CAST(sum(amount) AS DOUBLE) AS paid,

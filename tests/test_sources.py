@@ -124,12 +124,16 @@ def test_publish_twice_keeps_only_the_second_content(spark, tmp_path, rows):
     assert publish_table(spark.createDataFrame([("x", 3)], "b string, a int"), name, path)
     assert spark.table(name).columns == ["b", "a"]
     assert rows(spark.table(name)) == [("x", 3)]
-    moved = str(tmp_path / "elsewhere")
+    moved = str(tmp_path / "else'where")
     assert publish_table(spark.createDataFrame([("y", 4)], "b string, a int"), name, moved)
     assert rows(spark.table(name)) == [("y", 4)]
     detail = {r.col_name: r.data_type for r in spark.sql(f"describe formatted {name}").collect()}
     assert detail["Type"] == "EXTERNAL"
     spark.sql(f"drop table {name}")
+    spark.createDataFrame([("managed", 0)], "b string, a int").write.saveAsTable(name)
+    assert publish_table(spark.createDataFrame([("z", 5)], "b string, a int"), name, path, strict=True)
+    assert rows(spark.table(name)) == [("z", 5)] == rows(spark.read.parquet(path))
+    spark.sql(f"drop table {name}")
     assert rows(spark.read.parquet(moved)) == [("y", 4)]
 
 

@@ -32,14 +32,20 @@ def write_layer(
     return path
 
 
-def _register(spark: SparkSession, df: DataFrame, name: str, path: str, partition_by) -> None:
+def _is_external_parquet(spark: SparkSession, name: str) -> bool:
+    detail = {row.col_name: row.data_type for row in spark.sql(f"DESCRIBE FORMATTED {name}").collect()}
+    return detail.get("Type") == "EXTERNAL" and detail.get("Provider", "").lower() == "parquet"
+
+
+def _register(
+    spark: SparkSession, df: DataFrame, name: str, path: str, partition_by: Sequence[str]
+) -> None:
     if spark.catalog.tableExists(name):
-        entry = {row.col_name: row.data_type for row in spark.sql(f"DESCRIBE FORMATTED {name}").collect()}
-        same_place = entry.get("Location", "").split(":", 1)[-1].rstrip("/") == path.split(":", 1)[-1].rstrip("/")
-        same_columns = [(f.name, f.dataType) for f in spark.table(name).schema] == [
-            (f.name, f.dataType) for f in df.schema
-        ]
-        if same_place and same_columns and not partition_by:
+        columns = [(field.name, field.dataType) for field in df.schema]
+        kept = [(field.name, field.dataType) for field in spark.table(name).schema]
+        if kept == columns and not partition_by and _is_external_parquet(spark, name):
+            location = path.replace("\\", "\\\\").replace("'", "\\'")
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
             spark.catalog.refreshTable(name)
             return
         spark.sql(f"DROP TABLE {name}")
@@ -62,8 +68,7 @@ def publish_table(
     """Writes ``df`` to ``path`` and makes it the external catalog table ``name``.
 
     The files come first: while a long write runs the catalog entry stays. A table
-    that keeps its place and columns is refreshed in place, others are dropped and
-    created anew. Failing to register only warns (returning False) unless ``strict``;
+    that keeps its columns is pointed at the files, others are dropped and created anew. Failing to register only warns (returning False) unless ``strict``;
     failing to write always raises.
     """
     _write_parquet(df, path, partition_by)
