@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierforge.operators import join_preaggregated
+
 MOMENT = "yyyy-MM-dd HH:mm:ss"
 
 
@@ -131,13 +133,9 @@ def raw_order_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_order_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     role = F.col("role")
-    labels = (
-        table(spark, sf_dir, "labels")
-        .groupBy("doc_id")
-        .agg(F.max("quality").alias("quality"), F.max("toxic").alias("toxic"))
-    )
-    talks = table(spark, sf_dir, "conversations")
-    return talks.join(labels, F.col("conv_id") == F.col("doc_id"), "left").select(
+    talks = table(spark, sf_dir, "conversations").withColumn("doc_id", F.col("conv_id"))
+    scores = {"quality": F.max("quality"), "toxic": F.max("toxic")}
+    return join_preaggregated(talks, table(spark, sf_dir, "labels"), "doc_id", scores).select(
         F.col("conv_id").cast("string").alias("review_id"),
         F.col("conv_id").cast("string").alias("order_id"),
         F.when(role == "system", F.lit("x"))

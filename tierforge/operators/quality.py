@@ -138,8 +138,11 @@ def _key_pairs(on: str | Sequence[str] | dict[str, str]) -> dict[str, str]:
     return {name: name for name in ([on] if isinstance(on, str) else on)}
 
 
-def _referenced(dim: DataFrame, pairs: dict[str, str]) -> DataFrame:
-    return dim.select(*[F.col(there).alias(f"__fk_{here}") for here, there in pairs.items()])
+def _known_keys(dim: DataFrame, pairs: dict[str, str]) -> DataFrame:
+    """Each key of ``dim`` once: neither side of the join then suffers from a hot key."""
+    keys = dim.select(*[F.col(there).alias(f"__fk_{here}") for here, there in pairs.items()])
+    known = keys.groupBy(*keys.columns, spread(*keys.columns)).agg(F.lit(True).alias("__fk_found"))
+    return known.drop("__spread")
 
 
 def _same_key(df: DataFrame, pairs: dict[str, str]) -> Column:
@@ -154,10 +157,7 @@ def check_fk(
     ``on`` names shared columns, or maps columns of ``df`` to columns of ``dim``.
     """
     pairs = _key_pairs(on)
-    referenced = _referenced(dim, pairs)
-    keys = referenced.columns
-    present = referenced.groupBy(*keys, spread(*keys)).agg(F.lit(True).alias("__fk_found")).drop("__spread")
-    joined = df.join(present, _same_key(df, pairs), "left")
+    joined = df.join(_known_keys(dim, pairs), _same_key(df, pairs), "left")
     flagged = joined.withColumn(out, F.coalesce("__fk_found", F.lit(False)))
     return flagged.drop("__fk_found", *[f"__fk_{here}" for here in pairs])
 
@@ -168,4 +168,4 @@ def fk_orphans(
     """Rows of ``df`` whose non-null key is missing in ``dim``."""
     pairs = _key_pairs(on)
     keyed = df.filter(not_null(pairs))
-    return keyed.join(_referenced(dim, pairs), _same_key(keyed, pairs), "left_anti")
+    return keyed.join(_known_keys(dim, pairs), _same_key(keyed, pairs), "left_anti")
