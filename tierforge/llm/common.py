@@ -64,3 +64,33 @@ def require(df: DataFrame, columns: Sequence[str]) -> None:
     missing = [name for name in columns if name not in df.columns]
     if missing:
         raise ValueError(f"columns missing: {', '.join(missing)}")
+
+
+def bind(value: Column, body) -> Column:
+    """``body(value)``, with ``value`` computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def located(text: Column, regex: Column, measure) -> Column:
+    """Leftmost non-overlapping matches: array of ``start``, ``end``, ``text``.
+
+    ``measure`` gives a text's length in the unit wanted. A match starts after all gaps and
+    matches before it. Matches must not be empty.
+    """
+    gaps = F.call_function("split", text, regex)
+    found = F.call_function("regexp_extract_all", text, regex, F.lit(0))
+
+    def step(acc: Column, item: Column) -> Column:
+        end = acc.pos + measure(item.found)
+        span = F.struct(acc.pos.alias("start"), end.alias("end"), item.found.alias("text"))
+        return F.struct((end + measure(item.gap)).alias("pos"), F.concat(acc.spans, F.array(span)).alias("spans"))
+
+    def walk(g: Column) -> Column:
+        start = F.struct(
+            measure(g[0]).alias("pos"),
+            F.array().cast("array<struct<start:bigint,end:bigint,text:string>>").alias("spans"),
+        )
+        items = F.arrays_zip(found.alias("found"), F.slice(g, F.lit(2), F.size(g)).alias("gap"))
+        return F.aggregate(items, start, step, lambda acc: acc.spans)
+
+    return bind(gaps, walk)

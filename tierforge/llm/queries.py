@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from tierforge.llm.exact_dedup import OP4_SQL, op4_exact_dedup
+from tierforge.llm.license_scan import op7_license_scan
 
 QUERIES = {
     "op4_exact_dedup": op4_exact_dedup,
+    "op7_license_scan": op7_license_scan,
 }
 
 ORACLES = {
