@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from tierforge.llm.exact_dedup import OP4_SQL, op4_exact_dedup
 from tierforge.llm.license_scan import op7_license_scan
+from tierforge.llm.secret_scan import op8_secret_scan
 
 QUERIES = {
     "op4_exact_dedup": op4_exact_dedup,
     "op7_license_scan": op7_license_scan,
+    "op8_secret_scan": op8_secret_scan,
 }
 
 ORACLES = {
