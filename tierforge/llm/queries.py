@@ -5,9 +5,11 @@ from __future__ import annotations
 from tierforge.llm.exact_dedup import OP4_SQL, op4_exact_dedup
 from tierforge.llm.license_scan import op7_license_scan
 from tierforge.llm.secret_scan import op8_secret_scan
+from tierforge.llm.simhash import op5_simhash_near_dedup
 
 QUERIES = {
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op7_license_scan": op7_license_scan,
     "op8_secret_scan": op8_secret_scan,
 }
