@@ -112,15 +112,20 @@ def fit_language_model(
     centroid's own rows reach. Without labelled rows the model knows no language.
     """
     labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (F.col(text_col) != ""))
-    names = keyed(labelled, F.col(id_col).alias("id"), F.col(lang_col).alias("lang"))
+    rows = keyed(
+        labelled,
+        F.col(id_col).alias("id"),
+        F.col(lang_col).cast("string").alias("lang"),
+        F.col(text_col).alias("__text"),
+    )
+    names = rows.select("id", "lang", *ROW_KEY)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id", *ROW_KEY))
     chosen = names.withColumn("rank", rank).where(F.col("rank") <= rows_per_language).select(*ROW_KEY)
-    texts = keyed(labelled, F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("__text"))
     # Bounded by the number of languages times rows_per_language, at 16 bytes a row.
-    sample = texts.join(F.broadcast(chosen), list(ROW_KEY)).select("lang", "__text")
-    rows = sample.mapInArrow(_counted, "lang string, places binary, counts binary").collect()
-    rows = sorted((r.lang, bytes(r.places), bytes(r.counts)) for r in rows)
-    rows = [(lang, np.frombuffer(p, np.uint16), np.frombuffer(c, np.float32)) for lang, p, c in rows]
+    sample = rows.join(F.broadcast(chosen), list(ROW_KEY)).select("lang", "__text")
+    counted = sample.mapInArrow(_counted, "lang string, places binary, counts binary").collect()
+    counted = sorted((r.lang, bytes(r.places), bytes(r.counts)) for r in counted)
+    rows = [(lang, np.frombuffer(p, np.uint16), np.frombuffer(c, np.float32)) for lang, p, c in counted]
 
     seen = np.zeros(DIMENSIONS)
     for _, places, _ in rows:
