@@ -5,12 +5,14 @@ from __future__ import annotations
 from tierforge.llm.exact_dedup import OP4_SQL, op4_exact_dedup
 from tierforge.llm.language_id import op1_language_id
 from tierforge.llm.license_scan import op7_license_scan
+from tierforge.llm.packing import op3_vector_packing
 from tierforge.llm.quality_rules import op9_quality_rules
 from tierforge.llm.secret_scan import op8_secret_scan
 from tierforge.llm.simhash import op5_simhash_near_dedup
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op3_vector_packing": op3_vector_packing,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op7_license_scan": op7_license_scan,
