@@ -41,7 +41,7 @@ class Tokenizer(dict):
 
     _RUNS = re.compile(r" \s|\s ")
 
-    def __init__(self, vocabulary: str, ranks: str, pattern: str, remembered: int = 300_000):
+    def __init__(self, vocabulary: str, ranks: str, pattern: str, remembered: int = 500_000):
         import tiktoken
         from tokenizers import Tokenizer as Whole
 
@@ -56,7 +56,12 @@ class Tokenizer(dict):
     def __missing__(self, word: str) -> bytes:
         if len(self) >= self.remembered:
             self.clear()
-        ids = self[word] = np.array(self.ordinary(word), dtype="<u4").tobytes()
+        if word[-1] in ",.;:!?" and word[-2:-1].isascii() and word[-2:-1].isalpha():
+            # Letters and the mark after them are never one piece.
+            ids = self[word[:-1]] + np.array(self.ordinary(word[-1]), dtype="<u4").tobytes()
+        else:
+            ids = np.array(self.ordinary(word), dtype="<u4").tobytes()
+        self[word] = ids
         return ids
 
     def encode(self, text: str) -> bytes:
@@ -92,7 +97,7 @@ class Piece:
 class Packer:
     """Packs a stream of pieces; ``waiting`` of them are kept to choose from."""
 
-    def __init__(self, limits: Limits, waiting: int = 1024):
+    def __init__(self, limits: Limits, waiting: int = 256):
         self.limits, self.waiting = limits, waiting
         self.cap = np.array(limits, dtype=float)
         self.pool: list[Piece] = []
@@ -168,7 +173,7 @@ def pack_documents(
     Each text is encoded as a whole and ends with ``end_id``; null is the empty text, which is that id alone. Pieces
     of a document cover its ids once. No sequence exceeds a limit; those
     not filled are as long as a power of two. Every input split is packed by itself while
-    it is read: nothing is shuffled, a task keeps a thousand waiting pieces, and a repeated
+    it is read: nothing is shuffled, a task keeps a few hundred waiting pieces, and a repeated
     task gives the same rows. ``sequence_id`` is unique, with the split's number in its upper bits. Null
     or repeated ids are documents of their own. An empty table gives no row.
     """
