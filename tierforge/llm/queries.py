@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tierforge.llm.decontamination import OP6_SQL, op6_benchmark_decontamination
 from tierforge.llm.exact_dedup import OP4_SQL, op4_exact_dedup
 from tierforge.llm.language_id import op1_language_id
 from tierforge.llm.license_scan import op7_license_scan
@@ -15,6 +16,7 @@ QUERIES = {
     "op3_vector_packing": op3_vector_packing,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_license_scan": op7_license_scan,
     "op8_secret_scan": op8_secret_scan,
     "op9_quality_rules": op9_quality_rules,
@@ -22,4 +24,5 @@ QUERIES = {
 
 ORACLES = {
     "op4_exact_dedup": OP4_SQL,
+    "op6_benchmark_decontamination": OP6_SQL,
 }
