@@ -11,9 +11,11 @@ from tierforge.llm.packing import op3_vector_packing
 from tierforge.llm.quality_rules import op9_quality_rules
 from tierforge.llm.secret_scan import op8_secret_scan
 from tierforge.llm.simhash import op5_simhash_near_dedup
+from tierforge.llm.suffix_dedup import op2_suffix_dedup
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_vector_packing": op3_vector_packing,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
