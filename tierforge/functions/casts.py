@@ -59,7 +59,14 @@ def blank_as_value(data_type: str, default: Any) -> Converter:
     return lambda value: F.when(is_missing(value), F.lit(default).cast(data_type)).otherwise(read(value))
 
 
+def _fraction(number: Column) -> Column:
+    """The digits after the point, without zeros at the end."""
+    return F.regexp_extract(number, r"\.(\d*?)0*\s*\z", 1)
+
+
 def was_rounded(text: Column, amount: Column) -> Column:
-    """True where a decimal ``amount`` is not all that its ``text`` says."""
-    may_be_finer = text.rlike(r"[eE]|\.\d{3}")
-    return F.coalesce(may_be_finer & (text.try_cast("decimal(38,18)") != amount), F.lit(False))
+    """True where a decimal ``amount`` is not all that its ``text`` says, to the last digit."""
+    finer = text.rlike(r"\.\d{3}") & (_fraction(text) != _fraction(amount.cast("string")))
+    # With an exponent the digits do not line up; numbers this small or large are told apart as doubles.
+    scaled = text.try_cast("double") != amount.cast("double")
+    return F.coalesce(F.when(text.rlike("[eE]"), scaled).otherwise(finer), F.lit(False))

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +34,7 @@ from tierforge.operators.quality import (
     not_null,
     rule_counters,
 )
+from tierforge.sources.raw_csv import CORRUPT
 from tierforge.operators.text_ops import fill_text, has_text, map_values, standardize_text
 
 # Patterns of valid review scores and review dates.
@@ -81,7 +83,9 @@ def _raw(name: str) -> str:
 def prepare(table: SilverTable, bronze: DataFrame, money: str = MONEY) -> DataFrame:
     """Typed and cleaned rows before any is dropped, with the raw text of cast columns."""
     casts = table.casts(money)
+    corrupt = F.col(CORRUPT).isNotNull() if CORRUPT in bronze.columns else F.lit(False)
     typed = bronze.select(
+        corrupt.alias(_raw(CORRUPT)),
         *[casts[name](F.col(name)).alias(name) if name in casts else F.col(name) for name in table.columns],
         *[F.col(name).alias(_raw(name)) for name in casts],
     )
@@ -322,6 +326,14 @@ def counters(table: SilverTable, money: str = MONEY) -> list[Column]:
     return aggregates
 
 
+def row_counters(table: SilverTable) -> list[Column]:
+    """Aggregates over prepared rows: those landed with a wrong number of fields (``corrupt``) and, of
+    the rows that the rules keep, those with a NULL in the key (``null_keys``), which count as one key."""
+    kept = reduce(lambda a, b: a & b, [F.coalesce(rule.passes, F.lit(False)) for rule in table.rules()])
+    incomplete = reduce(lambda a, b: a | b, [F.col(key).isNull() for key in table.keys], F.lit(False))
+    return [F.count_if(F.col(_raw(CORRUPT))).alias("corrupt"), F.count_if(kept & incomplete).alias("null_keys")]
+
+
 def silver_metrics(name: str, bronze: DataFrame, money: str = MONEY) -> DataFrame:
     """The counters of one table as rows ``table``, ``metric``, ``item``, ``value``; one pass."""
     table = SILVER[name]

@@ -2,38 +2,58 @@
 
 from __future__ import annotations
 
+import uuid
 import warnings
 from collections.abc import Sequence
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
-from tierforge.sources.tables import layer_path
+from tierforge.sources.tables import layer_path, quoted
 
 
 def _write_parquet(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
-    # Static mode: a full overwrite leaves no partition of an earlier run behind,
-    # whatever the session's partitionOverwriteMode is.
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    """Writes beside ``path`` and moves the finished table there.
+
+    A write that fails leaves the old table as it was, and ``df`` may read from ``path``. The
+    change takes two renames. Should the driver die between them, the old table
+    is the folder beside it whose name ends in ``.old-`` and a number.
+    """
+    spark, run = df.sparkSession, uuid.uuid4().hex
+    folder, _, name = path.rstrip("/").rpartition("/")
+    beside = f"{folder}/.{name}" if folder else f".{name}"
+    new, old = f"{beside}.new-{run}", f"{beside}.old-{run}"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = hadoop(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    try:
+        writer.parquet(new)
+    except BaseException:
+        files.delete(hadoop(new), True)
+        raise
+    replaces = files.exists(hadoop(path))
+    if replaces and not files.rename(hadoop(path), hadoop(old)):
+        raise OSError(f"{path} cannot be moved; the new table is at {new}")
+    if not files.rename(hadoop(new), hadoop(path)):
+        if replaces:
+            files.rename(hadoop(old), hadoop(path))
+        raise OSError(f"{new} cannot be moved to {path}")
+    if replaces:
+        files.delete(hadoop(old), True)
+    spark.catalog.refreshByPath(path)
 
 
 def write_layer(
     df: DataFrame, base: str, table: str, partition_by: Sequence[str] = ()
 ) -> str:
-    """Replaces the Parquet table ``base/table`` and returns its path.
-
-    ``df`` must not read from that path.
-    """
+    """Replaces the Parquet table ``base/table``, once all is written, and returns its path."""
     path = layer_path(base, table)
     _write_parquet(df, path, partition_by)
     return path
 
 
 def _is_external_parquet(spark: SparkSession, name: str) -> bool:
-    detail = {row.col_name: row.data_type for row in spark.sql(f"DESCRIBE FORMATTED {name}").collect()}
+    detail = {row.col_name: row.data_type for row in spark.sql(f"DESCRIBE FORMATTED {quoted(name)}").collect()}
     return detail.get("Type") == "EXTERNAL" and detail.get("Provider", "").lower() == "parquet"
 
 
@@ -45,10 +65,10 @@ def _register(
         kept = [(field.name, field.dataType) for field in spark.table(name).schema]
         if kept == columns and not partition_by and _is_external_parquet(spark, name):
             location = path.replace("\\", "\\\\").replace("'", "\\'")
-            spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
+            spark.sql(f"ALTER TABLE {quoted(name)} SET LOCATION '{location}'")
             spark.catalog.refreshTable(name)
             return
-        spark.sql(f"DROP TABLE {name}")
+        spark.sql(f"DROP TABLE {quoted(name)}")
     if partition_by:
         # Partitioned tables take schema and partitions from the directory.
         spark.catalog.createTable(name, path=path, source="parquet")
@@ -67,7 +87,7 @@ def publish_table(
 ) -> bool:
     """Writes ``df`` to ``path`` and makes it the external catalog table ``name``.
 
-    The files come first: while a long write runs the catalog entry stays. A table
+    The files come first: while a long write runs, readers find the old table by name and by path. A table
     that keeps its columns is pointed at the files, others are dropped and created anew. Failing to register only warns (returning False) unless ``strict``;
     failing to write always raises.
     """

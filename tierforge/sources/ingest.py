@@ -58,7 +58,7 @@ def ingest_all(
             counts = _ingest_one(spark, entry, raw_dir, bronze_dir, options)
             return (entry.file, entry.table, *counts, None)
         except Exception as error:
-            return (entry.file, entry.table, None, None, None, str(error).split("\n")[0])
+            return (entry.file, entry.table, None, None, None, str(error))
 
     status = side_by_side(spark, attempt, [IngestEntry(*item) for item in manifest], threads)
     failed = [f"{file}: {error}" for file, *_, error in status if error is not None]
