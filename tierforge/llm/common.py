@@ -60,6 +60,17 @@ def remainder(doc_id: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % modulus
 
 
+def hashed(*columns: str) -> Column:
+    """Hash from 0 to 2**63 - 1."""
+    return F.shiftrightunsigned(F.xxhash64(*columns), 1)
+
+
+def hash_share(share: float | Column) -> Column:
+    """Bound below which about that share of the hashes lie."""
+    share = F.least(F.lit(1.0), F.lit(share) if isinstance(share, float) else share)
+    return (share * F.lit(float((1 << 63) - 1024))).cast("bigint")
+
+
 def require(df: DataFrame, columns: Sequence[str]) -> None:
     missing = [name for name in columns if name not in df.columns]
     if missing:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierforge.llm.common import remainder, stored, table
+from tierforge.llm.common import hash_share, hashed, remainder, stored, table
 
 STATISTICS = (
     "log_bytes", "log_words", "word_length", "upper", "digits", "punctuation", "exclamations", "symbols", "bars",
@@ -197,8 +197,11 @@ def train_quality(
     ``measured`` has ``doc_id`` and ``STATISTICS``. Rows with a null id or label are not used;
     an id that has several labels or several texts counts once for each pair.
     """
-    known = labels.select("doc_id", F.col(label_col).cast("double").alias("__label")).where("__label IS NOT NULL")
-    rows = measured.join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "__label", *STATISTICS).limit(max_rows)
+    known = labels.select("doc_id", F.col(label_col).cast("double").alias("__label"))
+    known = known.where("doc_id IS NOT NULL AND __label IS NOT NULL").withColumn("__hash", hashed("doc_id"))
+    # About twice as many rows as wanted go on, from however many tasks.
+    known = known.where(F.col("__hash") < hash_share(2 * max_rows / max(1, known.count())))
+    rows = measured.join(known, "doc_id").orderBy("__hash", "doc_id", "__label", *STATISTICS).limit(max_rows)
     found = np.array([tuple(r) for r in rows.select("__label", *STATISTICS).collect()], dtype=float)
     found = found.reshape(-1, len(STATISTICS) + 1)
     return fit_rules(found[:, 1:], found[:, 0])
