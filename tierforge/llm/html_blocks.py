@@ -14,8 +14,8 @@ _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)"
     rf"|<({_SILENT})\b(?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</\1\s*>|\Z)"
     r"|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)([^<>]*)>",
+    r"|<(/?)([a-zA-Z][^\s/<>]*+)((?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
+    r"|<(/?)([a-zA-Z][^\s/<>]*+)([^<>]*)>",
     re.S | re.I,
 )
 _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
