@@ -58,10 +58,9 @@ class ChainModel(NamedTuple):
             for f in block:
                 gain += get(f, 0.0)
             if number:
-                from_zero, from_one = zero + out, one + keep
-                to_zero, to_one = zero + stay, one + enter
-                back.append((to_one > to_zero, from_one > from_zero))
-                zero, one = max(to_zero, to_one), max(from_zero, from_one) + gain
+                zeros, ones = (zero + stay, one + out), (zero + enter, one + keep)
+                back.append((zeros[1] > zeros[0], ones[1] > ones[0]))
+                zero, one = max(zeros), max(ones) + gain
             else:
                 one = gain
         label = one > zero
