@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tierforge.llm.common import ROW_KEY, keyed, remainder, table
+from tierforge.llm.common import ROW_KEY, hash_share, hashed, keyed, remainder, table
 
 DIMENSIONS = 1 << 13
 _BLOCK = 1 << 20
@@ -105,8 +105,7 @@ def fit_language_model(
 ) -> CentroidModel:
     """Fits on at most ``rows_per_language`` labelled rows of each language.
 
-    The rows are those with the smallest hash of the id, so the sample depends on nothing else; ranking starts
-    inside each task, so a language that most rows share costs no more. Rows without language or
+    The rows are those with the smallest hash of the id, so the sample depends on nothing else. Rows without language or
     letters are not used. Only their sparse gram counts reach the driver. A
     text is rejected below ``slack`` times the cosine that all but one in a hundred of the
     centroid's own rows reach. Without labelled rows the model knows no language.
@@ -118,8 +117,11 @@ def fit_language_model(
         F.col(lang_col).cast("string").alias("lang"),
         F.col(text_col).alias("__text"),
     )
-    names = rows.select("id", "lang", *ROW_KEY)
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id", *ROW_KEY))
+    names = rows.select(hashed("id").alias("hash"), "id", "lang", *ROW_KEY)
+    # About twice as many rows as wanted are ranked, from however many tasks. One row for each language is broadcast.
+    share = rows.groupBy("lang").agg(hash_share(2.0 * rows_per_language / F.count(F.lit(1))).alias("bound"))
+    names = names.join(F.broadcast(share), "lang").where("hash <= bound")
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("hash", "id", *ROW_KEY))
     chosen = names.withColumn("rank", rank).where(F.col("rank") <= rows_per_language).select(*ROW_KEY)
     # Bounded by the number of languages times rows_per_language, at 16 bytes a row.
     sample = rows.join(F.broadcast(chosen), list(ROW_KEY)).select("lang", "__text")
