@@ -253,3 +253,65 @@ def test_step_by_step_from_the_command_line(spark, tmp_path, raw_dir, rows, caps
         assert rows(spark.read.parquet(f"{lake}/gld/{name}")) == sorted(expected, key=str), name
     with pytest.raises(SystemExit):
         main(["run", "--lake", lake])
+
+
+def test_a_lake_does_not_read_another_lakes_tables(spark, tmp_path, raw_dir, rows):
+    one, two = str(tmp_path / "one"), str(tmp_path / "two")
+    run_pipeline(spark, raw_dir, one, database="default")
+    payments = tmp_path / "raw" / "order_payments_dataset.csv"
+    payments.write_text(payments.read_text().replace("o3,1,credit_card,2,8.25", "o3,1,credit_card,2,4908.25"))
+    from tierforge.plans.run import run_checks, run_gold, run_silver
+    from tierforge.sources import ingest_all
+
+    ingest_all(spark, retail_manifest(), raw_dir, f"{two}/brz", True)
+    run_silver(spark, two, database=None)
+    run_gold(spark, two)
+    card = spark.read.parquet(f"{two}/gld/gold_payment_method").where("payment_type = 'Credit Card'").first()
+    assert card.total_revenue == 5108.24
+    # The catalog now has the second lake's reports and the first one's silver tables.
+    checks = {r.table: r for r in run_checks(spark, two, database="default").collect()}
+    assert checks["gold_payment_method"].ok and checks["gold_payment_method"].in_catalog
+    assert not checks["silver_orders"].ok and not checks["silver_orders"].in_catalog
+    for name in checks:
+        spark.sql(f"drop table if exists default.{name}")
+
+
+def test_what_rests_on_a_missing_file_is_skipped(spark, tmp_path, raw_dir, rows):
+    lake = str(tmp_path / "lake")
+    run_pipeline(spark, raw_dir, lake, database=None)
+    (tmp_path / "raw" / "order_payments_dataset.csv").unlink()
+    result = run_pipeline(spark, raw_dir, lake, database=None, strict=False)
+    skipped = {r.table: r.reason for r in result.skipped.collect()}
+    assert skipped == {
+        "silver_order_payments": "skipped: bronze_order_payments",
+        "gold_monthly_revenue": "skipped: silver_order_payments",
+        "gold_region_revenue": "skipped: silver_order_payments",
+        "gold_payment_method": "skipped: silver_order_payments",
+    }
+    checks = {r.table: r for r in result.checks.collect()}
+    assert {name for name, r in checks.items() if not r.ok} == set(skipped)
+    assert checks["gold_payment_method"].note == "skipped: silver_order_payments"
+
+
+def test_every_row_is_accounted_for_and_stored(spark, tmp_path, raw_dir):
+    lake = str(tmp_path / "lake")
+    reviews = tmp_path / "raw" / "order_reviews_dataset.csv"
+    reviews.write_text(reviews.read_text() + "r9,o3\n")
+    payments = tmp_path / "raw" / "order_payments_dataset.csv"
+    payments.write_text(payments.read_text() + "".join(f"o1,1,code{i},1,1.00\n" for i in range(1200)))
+    for _ in range(2):
+        result = run_pipeline(spark, raw_dir, lake, database=None)
+    counted = {}
+    for r in result.metrics.collect():
+        counted.setdefault(r.table, {})[r.metric, r.item] = r.value
+    assert len(counted) == 7
+    for name, values in counted.items():
+        dropped = sum(v for (metric, _), v in values.items() if metric == "dropped")
+        assert values["rows_in", ""] == dropped + values["duplicates", ""] + values["rows_out", ""]
+        assert values["rows_out", ""] == spark.read.parquet(f"{lake}/slv/{name}").count()
+    assert counted["silver_orders"]["duplicates", ""] == 1
+    assert counted["silver_order_reviews"]["corrupt", ""] == 1
+    stored = spark.read.parquet(f"{lake}/meta/profiles")
+    codes = stored.where("`table` = 'silver_order_payments'")
+    assert codes.select("run_id").distinct().count() == 2
+    assert codes.where("item like 'code%'").select("item").distinct().count() == 1200

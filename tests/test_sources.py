@@ -171,3 +171,52 @@ def test_preview(spark):
     df = spark.range(20).selectExpr("id", "id * 2 as twice")
     assert preview(df, ["twice"], 3).columns == ["twice"]
     assert preview(df).count() == 5
+
+
+def test_files_with_swapped_columns_are_read_by_name(spark, csv, tmp_path, rows):
+    (tmp_path / "many").mkdir()
+    csv("many/a.csv", "id,price\n1,2.5\n")
+    csv("many/b c.csv", '﻿price,id\r\n7.25,2\r\n"8\n9",3\r\n')
+    for multiline in ("auto", True):
+        df = read_raw_csv(spark, str(tmp_path / "many"), multiline=multiline)
+        assert rows(df, "id", "price") == [("1", "2.5"), ("2", "7.25"), ("3", "8\n9")]
+    status = ingest_all(spark, [("many", "t")], str(tmp_path), str(tmp_path / "brz")).first()
+    assert (status["rows"], status.cols, status.corrupt, status.error) == (3, 2, 0, None)
+
+
+def test_files_with_other_columns_are_an_error(spark, csv, tmp_path):
+    (tmp_path / "many").mkdir()
+    csv("many/a.csv", "id,price\n1,2.5\n")
+    csv("many/b.csv", "id,cost\n2,7\n")
+    with pytest.raises(ValueError, match="cost"):
+        read_raw_csv(spark, str(tmp_path / "many"), multiline="auto")
+    assert "cost" in ingest_all(spark, [("many", "t")], str(tmp_path), str(tmp_path / "brz")).first().error
+
+
+def test_one_doubtful_file_leaves_the_others_split(spark, csv, tmp_path):
+    (tmp_path / "many").mkdir()
+    for i in range(8):
+        csv(f"many/{i}.csv", "a,b\n" + "".join(f"{j},text\n" for j in range(2000)) + ('9,"x\ny"\n' if i == 3 else ""))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        df = read_raw_csv(spark, str(tmp_path / "many"), multiline="auto")
+        assert df.rdd.getNumPartitions() >= 7 * 4 + 1
+        assert df.count() == 8 * 2000 + 1
+        assert df.where("b = 'x\\ny'").count() == 1
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_failed_write_leaves_the_old_table(spark, tmp_path, rows):
+    path, name = str(tmp_path / "pub"), "default.published_safe"
+    publish_table(spark.createDataFrame([(1,)], "a int"), name, path, strict=True)
+    broken = spark.createDataFrame([(2,), (3,)], "a int").selectExpr("if(a = 3, raise_error('midway'), a) as a")
+    with pytest.raises(Exception, match="midway"):
+        publish_table(broken, name, path, strict=True)
+    assert rows(spark.table(name)) == [(1,)] == rows(spark.read.parquet(path))
+    publish_table(spark.read.parquet(path).selectExpr("a + 1 as a"), name, path, strict=True)
+    assert rows(spark.table(name)) == [(2,)] == rows(spark.read.parquet(path))
+    assert [p.name for p in tmp_path.iterdir()] == ["pub"]
+    spark.sql(f"drop table {name}")

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from typing import NamedTuple
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -39,6 +42,28 @@ def has_record_per_line(spark: SparkSession, path: str | Sequence[str], escape:
     return lines.filter(~_simple_line(F.col("value"), escape)).isEmpty()
 
 
+class _File(NamedTuple):
+    path: str
+    header: str
+    doubtful: bool
+
+
+def _files(spark: SparkSession, path: str | Sequence[str], escape: str) -> list[_File]:
+    """First line of every file, and whether it holds a line that may not be one record; one pass over the text.
+
+    One row a file reaches the driver, which lists the files anyway.
+    """
+    lines = spark.read.text(path, lineSep="\n").select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.when(F.col("_metadata.file_block_start") == 0, F.monotonically_increasing_id()).alias("place"),
+    )
+    facts = lines.groupBy("file").agg(
+        F.min_by("value", "place").alias("header"), F.max(~_simple_line(F.col("value"), escape)).alias("doubtful")
+    )
+    return sorted(_File(unquote(f.file), f.header.removeprefix("\ufeff").rstrip("\r"), f.doubtful) for f in facts.collect())
+
+
 def read_raw_csv(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -54,26 +79,55 @@ def read_raw_csv(
     Rows with too few or too many fields keep their text in ``corrupt_column``
     (``None`` leaves it out). ``columns`` replaces the names found in the header.
 
+    Several files may have their columns in different order: each is read by its own header. Files
+    whose headers name different columns raise. (With an encoding other than UTF-8 all headers must be equal.)
+
     Spark cannot split a file that is read with ``multiline=True``: one file is one
-    task. Land big tables as many files, or use ``multiline="auto"``, which reads in
-    splits when ``has_record_per_line`` proves the result to be the same.
+    task. Land big tables as many files, or use ``multiline="auto"``, which reads every file in
+    splits in which ``has_record_per_line`` proves the result to be the same.
     """
-    if multiline == "auto":
-        multiline = encoding.upper() != "UTF-8" or not has_record_per_line(spark, path, escape)
-    reader = (
-        spark.read.option("header", True)
-        .option("multiLine", multiline)
-        .option("encoding", encoding)
-        .option("escape", escape)
-    )
-    if columns is None:
-        columns = reader.csv(path).columns
-    fields = [StructField(name, StringType()) for name in columns]
-    if corrupt_column is None:
-        return reader.schema(StructType(fields)).csv(path)
-    return (
-        reader.option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", corrupt_column)
-        .schema(StructType([*fields, StructField(corrupt_column, StringType())]))
-        .csv(path)
-    )
+    utf8 = encoding.upper() == "UTF-8"
+
+    def reader(whole: bool) -> DataFrameReader:
+        return (
+            spark.read.option("header", True)
+            .option("multiLine", whole)
+            .option("encoding", encoding)
+            .option("escape", escape)
+        )
+
+    def read(paths: str | Sequence[str], whole: bool, names: Sequence[str] | None) -> DataFrame:
+        checked = reader(whole)
+        if names is None:
+            names = checked.csv(paths).columns
+            checked = checked.option("enforceSchema", False)
+        fields = [StructField(name, StringType()) for name in names]
+        if corrupt_column is None:
+            return checked.schema(StructType(fields)).csv(paths)
+        return (
+            checked.option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", corrupt_column)
+            .schema(StructType([*fields, StructField(corrupt_column, StringType())]))
+            .csv(paths)
+        )
+
+    auto = multiline == "auto"
+    listed = spark.read.text(path).inputFiles()
+    if not utf8 or len(listed) < 2:
+        whole = (not utf8 or not has_record_per_line(spark, path, escape)) if auto else multiline
+        if utf8 and columns is None:
+            columns = reader(whole).csv(path).columns
+        return read(path, whole, columns)
+
+    groups: dict[tuple, list[str]] = {}
+    for file in _files(spark, path, escape):
+        # A header that goes on in the next line is like no other.
+        own = None if columns is not None else (file.header, file.path if file.header.count('"') % 2 else "")
+        groups.setdefault((own, file.doubtful if auto else multiline), []).append(file.path)
+    parts = []
+    for (_, whole), paths in groups.items():
+        names = columns if columns is not None else reader(whole).csv(paths[0]).columns
+        if parts and set(names) != set(parts[0].columns) - {corrupt_column}:
+            raise ValueError(f"{paths[0]} has columns {', '.join(names)}; others have {', '.join(parts[0].columns)}")
+        parts.append(read(paths, whole, names))
+    return reduce(DataFrame.unionByName, parts)
