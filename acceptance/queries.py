@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from acceptance import sql, views
@@ -195,7 +195,7 @@ def landed(spark: SparkSession, sf: str, name: str, columns: list[str]) -> DataF
 
 
 for _name, _columns in {
-    "part": ["p_partkey", "p_name", "p_brand", "p_type", "p_size"],
+    "part": ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"],
     "nation": ["n_nationkey", "n_name", "n_regionkey"],
     "documents": ["doc_id", "text", "lang", "source", "n_chars"],
     "conversations": ["conv_id", "turn", "role", "text"],
@@ -208,14 +208,14 @@ for _name, _columns in {
 
 @query(
     "ingest_status",
-    """SELECT 'customer.csv' AS file, 'bronze_customer' AS "table", count(*) AS rows, CAST(3 AS INTEGER) AS cols,
+    """SELECT 'customer.csv' AS file, 'bronze_customer' AS "table", count(*) AS rows, CAST(5 AS INTEGER) AS cols,
               CAST(0 AS BIGINT) AS corrupt, false AS failed FROM customer
        UNION ALL SELECT 'conversations.csv', 'bronze_conversations', count(*), 4, 0, false FROM conversations
        UNION ALL SELECT 'absent.csv', 'bronze_absent', NULL, NULL, NULL, true""",
 )
 def _(spark, sf):
     base = scratch_path(spark, "ingest")
-    write_csv(table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment"), f"{base}/raw/customer.csv")
+    write_csv(table(spark, sf, "customer"), f"{base}/raw/customer.csv")
     write_csv(table(spark, sf, "conversations"), f"{base}/raw/conversations.csv")
     files = ("customer", "absent", "conversations")
     manifest = [(f"{name}.csv", f"bronze_{name}") for name in files]
@@ -229,7 +229,10 @@ def _(spark, sf):
     name = "default.published_" + path.split("/")[-2].rpartition("-")[2]
     publish_table(table(spark, sf, "customer").limit(0), name, path)
     publish_table(table(spark, sf, "customer"), name, path, strict=True)
-    return read_table_or_path(spark, name, path)
+    published = read_table_or_path(spark, name, path)
+    # The table is external: its files stay, and what was read from it stays readable.
+    spark.sql(f"DROP TABLE {name}")
+    return published
 
 
 @query("read_without_table", "SELECT * FROM supplier")
@@ -239,10 +242,18 @@ def _(spark, sf):
     return read_table_or_path(spark, "default.never_published", path)
 
 
-def whole_run(spark: SparkSession, sf: str) -> tuple[plans.PipelineResult, str]:
+def raw_files(spark: SparkSession, sf: str, without: str | None = None) -> str:
+    """A folder whose ``raw`` holds the files of the manifest."""
     base = scratch_path(spark, "run")
     for entry in plans.retail_manifest():
-        write_csv(views.RAW[entry.table.removeprefix("bronze_")](spark, sf), f"{base}/raw/{entry.file}")
+        name = entry.table.removeprefix("bronze_")
+        if name != without:
+            write_csv(views.RAW[name](spark, sf), f"{base}/raw/{entry.file}")
+    return base
+
+
+def whole_run(spark: SparkSession, sf: str) -> tuple[plans.PipelineResult, str]:
+    base = raw_files(spark, sf)
     return plans.run_pipeline(spark, f"{base}/raw", f"{base}/lake", database=None), f"{base}/lake"
 
 
@@ -281,6 +292,191 @@ def _(spark, sf):
     return report
 
 
+_SILVER_TABLES = [name for name in sql.TABLES if name.startswith("silver_")]
+
+
+for _name in ("silver_sellers", "silver_products"):
+    query(f"landed_{_name}", f"SELECT * FROM {_name}", _name)(
+        lambda spark, sf, name=_name: read_layer(spark, f"{whole_run(spark, sf)[1]}/{LAYERS['silver']}", name)
+    )
+
+_LANDED = {
+    "orders": ("raw_orders", 8),
+    "products": ("part, (VALUES (1), (2))", 9),
+    "customers": ("customer, (VALUES (1), (2))", 5),
+    "sellers": ("supplier, (VALUES (1), (2))", 4),
+    "order_items": ("lineitem", 7),
+    "order_payments": ("lineitem", 5),
+    "order_reviews": ("conversations", 7),
+    "translation": ("(SELECT DISTINCT p_type, p_brand FROM part WHERE p_type <> 'PROMO')", 2),
+}
+
+
+@query(
+    "run_ingest",
+    "\nUNION ALL\n".join(
+        f"SELECT 'bronze_{name}' AS \"table\", count(*) AS rows, CAST({cols} AS INTEGER) AS cols, "
+        f"CAST(0 AS BIGINT) AS corrupt FROM {source}"
+        for name, (source, cols) in _LANDED.items()
+    ),
+    "raw_orders",
+)
+def _(spark, sf):
+    return whole_run(spark, sf)[0].ingest.select("table", "rows", "cols", "corrupt")
+
+
+@query(
+    "run_account",
+    "\nUNION ALL\n".join(
+        f"SELECT 'silver_{name}' AS \"table\", (SELECT count(*) FROM {source}) AS rows_in, count(*) AS rows_out, "
+        f"(SELECT count(*) FROM {source}) - count(*) AS dropped_or_duplicate, CAST(0 AS BIGINT) AS corrupt FROM silver_{name}"
+        for name, (source, _) in _LANDED.items()
+        if name != "translation"
+    ),
+    *_SILVER_TABLES,
+)
+def _(spark, sf):
+    """The account of rows of all seven silver tables."""
+    metric, value = F.col("metric"), F.col("value")
+    total = lambda *names: F.sum(F.when(metric.isin(*names), value).otherwise(0))
+    return whole_run(spark, sf)[0].metrics.groupBy("table").agg(
+        total("rows_in").alias("rows_in"),
+        total("rows_out").alias("rows_out"),
+        total("dropped", "duplicates").alias("dropped_or_duplicate"),
+        total("corrupt").alias("corrupt"),
+    )
+
+
+_SKIPPED = {
+    "silver_order_payments": "bronze_order_payments",
+    "gold_monthly_revenue": "silver_order_payments",
+    "gold_region_revenue": "silver_order_payments",
+    "gold_payment_method": "silver_order_payments",
+}
+
+
+def _checked(skipped: dict[str, str]) -> str:
+    """Checks of a run as SQL: rows of every table that was computed, notes of the others."""
+    sources = {name: name for name in _SILVER_TABLES} | {
+        f"gold_{name}": f"({select})" for name, select in sql.SILVER_REPORTS.items()
+    }
+    return "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS \"table\", CAST(0 AS BIGINT) AS total, false AS ok, 'skipped: {skipped[name]}' AS note"
+        if name in skipped
+        else f"SELECT '{name}', count(*), true, NULL FROM {source}"
+        for name, source in sorted(sources.items(), key=lambda item: item[0] not in skipped)
+    )
+
+
+@query("run_with_missing_file", _checked(_SKIPPED), *_SILVER_TABLES)
+def _(spark, sf):
+    """A run that may go on without a file: what rests on it is skipped and not ok."""
+    base = raw_files(spark, sf, without="order_payments")
+    result = plans.run_pipeline(spark, f"{base}/raw", f"{base}/lake", database=None, strict=False)
+    return result.checks.select("table", "total", "ok", "note")
+
+
+@query(
+    "run_with_catalog",
+    "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS \"table\", count(*) AS total, true AS in_catalog, true AS ok FROM {source}"
+        for name, source in (
+            {name: name for name in _SILVER_TABLES}
+            | {f"gold_{name}": f"({select})" for name, select in sql.SILVER_REPORTS.items()}
+        ).items()
+    ),
+    *_SILVER_TABLES,
+)
+def _(spark, sf):
+    """A run that publishes its tables, in a database of its own that is dropped with them."""
+    base = raw_files(spark, sf)
+    database = "tierforge_" + base.split("-")[-1].split("/")[0]
+    spark.sql(f"CREATE DATABASE {database}")
+    try:
+        result = plans.run_pipeline(spark, f"{base}/raw", f"{base}/lake", database=database)
+        return result.checks.select("table", "total", "in_catalog", "ok")
+    finally:
+        spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
+@query("run_profiles", """SELECT payment_type AS item, CAST(count(*) AS DOUBLE) AS value FROM silver_order_payments GROUP BY 1""", "silver_order_payments")
+def _(spark, sf):
+    profiles = whole_run(spark, sf)[0].profiles
+    return profiles.where("`table` = 'silver_order_payments' AND metric = 'frequency'").select("item", "value")
+
+
+_DOCUMENT_TEXTS = ", ".join(
+    f"nullif(CAST({c} AS VARCHAR), '') AS {c}" for c in ("doc_id", "text", "lang", "source", "n_chars")
+)
+
+
+@query("bronze_mixed_files", f"SELECT {_DOCUMENT_TEXTS} FROM documents")
+def _(spark, sf):
+    """Texts with and without line breaks in separate files, whose columns stand in different order."""
+    base = scratch_path(spark, "mixed")
+    documents = table(spark, sf, "documents")
+    broken = F.coalesce(F.col("text").contains("\n"), F.lit(False))
+    write_csv(documents.where(broken), f"{base}/raw/documents_1.csv")
+    write_csv(documents.where(~broken).select(*reversed(documents.columns)), f"{base}/raw/documents_2.csv")
+    ingest_all(spark, [("documents_*.csv", "bronze_documents")], f"{base}/raw", f"{base}/brz", strict=True)
+    return read_layer(spark, f"{base}/brz", "bronze_documents").drop(CORRUPT)
+
+
+@query(
+    "bronze_backslash",
+    "SELECT " + ", ".join(f"nullif(CAST({c} AS VARCHAR), '') AS {c}" for c in ("conv_id", "turn", "role", "text"))
+    + ", '\"' || role || '\"' AS said FROM conversations",
+)
+def _(spark, sf):
+    """Quotes inside quoted texts are marked by a backslash."""
+    base = scratch_path(spark, "backslash")
+    said = table(spark, sf, "conversations").withColumn("said", F.concat(F.lit('"'), "role", F.lit('"')))
+    said.write.option("header", True).option("escape", "\\").csv(f"{base}/raw/said.csv")
+    ingest_all(spark, [("said.csv", "bronze_said")], f"{base}/raw", f"{base}/brz", strict=True, escape="\\")
+    return read_layer(spark, f"{base}/brz", "bronze_said").drop(CORRUPT)
+
+
+@query(
+    "bronze_wrong_fields",
+    """SELECT CAST(s_suppkey AS VARCHAR) AS key, CASE WHEN s_nationkey % 3 <> 0 THEN s_name END AS name,
+              s_nationkey % 3 <> 1 AS corrupt FROM supplier""",
+)
+def _(spark, sf):
+    """Rows with too few and with too many fields are kept and flagged."""
+    base = scratch_path(spark, "fields")
+    key, name, left = F.col("s_suppkey").cast("string"), F.col("s_name"), F.col("s_nationkey") % 3
+    line = F.when(left == 0, key).when(left == 1, F.concat_ws(",", key, name)).otherwise(F.concat_ws(",", key, name, name))
+    # Every split has the header, as a file of its own has.
+    parts = table(spark, sf, "supplier").select(line.alias("key,name"))
+    parts.write.option("header", True).option("quote", "").option("sep", "\u0001").csv(f"{base}/raw/supplier.csv")
+    ingest_all(spark, [("supplier.csv", "bronze_supplier")], f"{base}/raw", f"{base}/brz", strict=True)
+    landed_rows = read_layer(spark, f"{base}/brz", "bronze_supplier")
+    return landed_rows.select("key", "name", F.col(CORRUPT).isNotNull().alias("corrupt"))
+
+
+@query("partitioned_layer", "SELECT * FROM lineitem")
+def _(spark, sf):
+    base = scratch_path(spark, "partitioned")
+    write_layer(table(spark, sf, "lineitem"), base, "lineitem", partition_by=["l_returnflag"])
+    return read_layer(spark, base, "lineitem")
+
+
+@query(
+    "sorted_months",
+    """SELECT month, row_number() OVER (ORDER BY month) AS place
+       FROM (SELECT DISTINCT strftime(bought, '%Y-%m') AS month FROM typed_orders)""",
+    "typed_orders",
+)
+def _(spark, sf):
+    """The place of every row in a stored report."""
+    base = scratch_path(spark, "sorted")
+    report = plans.monthly_revenue(views.typed_orders(spark, sf), views.typed_payments(spark, sf))
+    # One row a month: the window over all of them is as small as the report.
+    place = F.row_number().over(Window.orderBy(F.monotonically_increasing_id()))
+    write_layer(report.withColumn("place", place.cast("bigint")), base, "months")
+    return read_layer(spark, base, "months").select("month", "place")
+
+
 # --- projections ---------------------------------------------------------------------
 
 
