@@ -72,13 +72,28 @@ def _breaks(rule: Rule) -> Column:
     return ~F.coalesce(rule.passes, F.lit(False))
 
 
-def keep_passing(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+def _flag(number: int) -> str:
+    return f"__breaks_{number}"
+
+
+def judge(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """``df`` with one Boolean column for each rule, so that rules are evaluated once a row.
+
+    Counters and filters made with ``judged=True`` read them; ``keep_passing`` drops them.
+    """
+    return df.withColumns({_flag(number): _breaks(rule) for number, rule in enumerate(rules)})
+
+
+def keep_passing(df: DataFrame, rules: Sequence[Rule], judged: bool = False) -> DataFrame:
+    if judged:
+        flags = [_flag(number) for number in range(len(rules))]
+        return df.filter(~reduce(Column.__or__, [F.col(flag) for flag in flags])).drop(*flags)
     for rule in rules:
         df = df.filter(rule.passes)
     return df
 
 
-def rule_counters(rules: Sequence[Rule]) -> list[Column]:
+def rule_counters(rules: Sequence[Rule], judged: bool = False) -> list[Column]:
     """Aggregates of the reject account, for ``agg`` or for ``observe``.
 
     ``failed:<rule>`` counts every row breaking the rule, ``dropped:<rule>`` the rows it
@@ -86,8 +101,8 @@ def rule_counters(rules: Sequence[Rule]) -> list[Column]:
     """
     counters = [F.count(F.lit(1)).alias("rows_in")]
     passed_so_far = F.lit(True)
-    for rule in rules:
-        breaks = _breaks(rule)
+    for number, rule in enumerate(rules):
+        breaks = F.col(_flag(number)) if judged else _breaks(rule)
         counters.append(F.count_if(breaks).alias(f"failed:{rule.name}"))
         counters.append(F.count_if(passed_so_far & breaks).alias(f"dropped:{rule.name}"))
         passed_so_far = passed_so_far & ~breaks
@@ -99,10 +114,13 @@ def apply_rules(df: DataFrame, rules: Sequence[Rule]) -> RuleOutcome:
     """Splits ``df`` into kept rows and rejects naming every broken rule, and counts both.
 
     kept + rejects = input. ``metrics`` has one row per rule: ``rule``, ``rows_in``,
-    ``failed``, ``dropped`` (see ``rule_counters``) and ``rows_kept``, from one pass.
+    ``failed``, ``dropped`` (see ``rule_counters``) and ``rows_kept``, from one pass. Each of the three is
+    a plan of its own over ``df``; the rules are evaluated once a row in each.
     """
-    reasons = F.array_compact(F.array(*[F.when(_breaks(rule), F.lit(rule.name)) for rule in rules]))
-    rejects = df.withColumn(REASONS, reasons).filter(F.size(REASONS) > 0)
+    judged = judge(df, rules)
+    flags = [_flag(number) for number in range(len(rules))]
+    reasons = F.array_compact(F.array(*[F.when(F.col(f), F.lit(r.name)) for f, r in zip(flags, rules, strict=True)]))
+    rejects = judged.withColumn(REASONS, reasons).drop(*flags).filter(F.size(REASONS) > 0)
     lines = F.array(
         *[
             F.struct(
@@ -115,7 +133,7 @@ def apply_rules(df: DataFrame, rules: Sequence[Rule]) -> RuleOutcome:
             for rule in rules
         ]
     )
-    metrics = df.agg(*rule_counters(rules)).select(F.inline(lines))
+    metrics = judged.agg(*rule_counters(rules, judged=True)).select(F.inline(lines))
     return RuleOutcome(keep_passing(df, rules), rejects, metrics)
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tierforge.functions.casts import MONEY
+from tierforge.operators.quality import judge
 from tierforge.plans import gold
 from tierforge.plans.bronze import retail_manifest
 from tierforge.plans.checks import TABLE_KEYS, output_check
@@ -107,9 +108,9 @@ def _run_silver(lake: _Lake, name: str, money: str) -> list[tuple[str, str, str,
     bronze = lake.spark.read.parquet(lake.path(table.source))
     lookups = [lake.spark.read.parquet(lake.path(lookup)) for lookup in table.lookups]
     observation = Observation(name)
-    prepared = prepare(table, bronze, money)
-    wanted = [*counters(table, money), *row_counters(table)]
-    lake.write(complete(table, prepared.observe(observation, *wanted), *lookups), name)
+    prepared = judge(prepare(table, bronze, money), table.rules())
+    wanted = [*counters(table, money, judged=True), *row_counters(table)]
+    lake.write(complete(table, prepared.observe(observation, *wanted), *lookups, judged=True), name)
     counted = dict(observation.get)
     if counted.get("rows_in") != bronze.count():
         counted = prepared.agg(*wanted).first().asDict()

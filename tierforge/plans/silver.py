@@ -29,6 +29,7 @@ from tierforge.operators.lookup import translate
 from tierforge.operators.quality import (
     Rule,
     in_range,
+    judge,
     keep_passing,
     matches,
     not_null,
@@ -92,10 +93,10 @@ def prepare(table: SilverTable, bronze: DataFrame, money: str = MONEY) -> DataFr
     return table.clean(typed)
 
 
-def complete(table: SilverTable, prepared: DataFrame, *lookups: DataFrame) -> DataFrame:
-    """Rules, de-duplication and lookups over prepared rows."""
+def complete(table: SilverTable, prepared: DataFrame, *lookups: DataFrame, judged: bool = False) -> DataFrame:
+    """Rules, de-duplication and lookups over prepared rows; ``judged`` rows carry the outcome of the rules."""
     raw = [name for name in prepared.columns if name.startswith(_raw(""))]
-    kept = keep_passing(prepared, table.rules()).drop(*raw)
+    kept = keep_passing(prepared, table.rules(), judged).drop(*raw)
     if table.keys:
         kept = dedupe_latest(kept, table.keys, table.latest_by)
     return table.finish(kept, *lookups)
@@ -309,13 +310,13 @@ def build_silver_products(bronze: DataFrame, translation: DataFrame) -> DataFram
 METRICS_SCHEMA = "table string, metric string, item string, value bigint"
 
 
-def counters(table: SilverTable, money: str = MONEY) -> list[Column]:
+def counters(table: SilverTable, money: str = MONEY, judged: bool = False) -> list[Column]:
     """Aggregates over prepared rows, named ``metric:item``.
 
     The reject account of the rules, the texts that a cast could not read
     (``malformed``) and the amounts it had to round (``rounded``).
     """
-    aggregates = rule_counters(table.rules())
+    aggregates = rule_counters(table.rules(), judged)
     for name in table.casts(money):
         text = F.col(_raw(name))
         aggregates.append(
@@ -327,17 +328,16 @@ def counters(table: SilverTable, money: str = MONEY) -> list[Column]:
 
 
 def row_counters(table: SilverTable) -> list[Column]:
-    """Aggregates over prepared rows: those landed with a wrong number of fields (``corrupt``) and, of
-    the rows that the rules keep, those with a NULL in the key (``null_keys``), which count as one key."""
-    kept = reduce(lambda a, b: a & b, [F.coalesce(rule.passes, F.lit(False)) for rule in table.rules()])
+    """Aggregates over prepared rows: those landed with a wrong number of fields (``corrupt``), and those with a
+    NULL in the key (``null_keys``); of the latter, de-duplication makes one row a key."""
     incomplete = reduce(lambda a, b: a | b, [F.col(key).isNull() for key in table.keys], F.lit(False))
-    return [F.count_if(F.col(_raw(CORRUPT))).alias("corrupt"), F.count_if(kept & incomplete).alias("null_keys")]
+    return [F.count_if(F.col(_raw(CORRUPT))).alias("corrupt"), F.count_if(incomplete).alias("null_keys")]
 
 
 def silver_metrics(name: str, bronze: DataFrame, money: str = MONEY) -> DataFrame:
     """The counters of one table as rows ``table``, ``metric``, ``item``, ``value``; one pass."""
     table = SILVER[name]
-    counted = prepare(table, bronze, money).agg(*counters(table, money))
+    counted = judge(prepare(table, bronze, money), table.rules()).agg(*counters(table, money, judged=True))
     lines = [
         F.struct(
             F.lit(name).alias("table"),

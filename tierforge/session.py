@@ -16,8 +16,9 @@ SESSION_SETTINGS = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Join by hash, without sorting, where AQE has measured every partition to be small.
-    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
+    # Join by hash, without sorting, where AQE has measured every partition to be small. The measure is of
+    # compressed shuffle data, which may take ten times as much in memory, and a hash table cannot spill.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "16m",
     "spark.sql.legacy.timeParserPolicy": "CORRECTED",
     "spark.sql.session.timeZone": "UTC",
 }
