@@ -186,3 +186,14 @@ def test_guarded_timestamps_are_what_the_format_reads(spark):
     assert column(parse_timestamps(df, ["t"])) == column(by_format)
     day = texts(spark, "02/10/2017", "2017-10-02")
     assert column(parse_timestamps(day, ["t"], fmt="dd/MM/yyyy")) == [datetime(2017, 10, 2), None]
+
+
+def test_rounding_is_seen_to_the_last_digit(spark):
+    texts = {
+        "1.00": False, "1.5000": False, "1.005": True, "2": False, "1.0000000000000000000001": True, " 7.250 ": False,
+        "-3.999": True, "1e-20": True, "1.5e1": False, "1.0051e1": True, None: False, "oops": False, "0.120000000000000000000000": False,
+    }
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    amount = F.col("t").try_cast("decimal(18,2)")
+    got = {r.t: r.rounded for r in df.select("t", was_rounded(F.col("t"), amount).alias("rounded")).collect()}
+    assert got == texts
