@@ -40,14 +40,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder of ``spark.checkpoint.dir``.
 
     A machine-local folder is used only when nothing is configured *and* the
-    master is local, that is, when driver and executors share one machine.
+    master is local, that is, when driver and executors share one machine. The folder is
+    deleted when the driver's JVM ends; until then whatever was read from it can be read again.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         base = tempfile.gettempdir()
-    return f"{base.rstrip('/')}/tierforge-{uuid.uuid4().hex}/{name}"
+    folder = f"{base.rstrip('/')}/tierforge-{uuid.uuid4().hex}"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(hadoop)
+    files.deleteOnExit(hadoop)
+    return f"{folder}/{name}"
 
 
 def side_by_side(
