@@ -69,9 +69,9 @@ def test_induced_sorting_finds_all_equal_windows(most_bytes):
         assert got == {w for w in range(s[1]) if seen[d[s[0] + w : s[0] + w + 200]] > 1}
 
 
-def rows_of(spark, texts):
+def rows_of(spark, texts, **options):
     docs = spark.createDataFrame([(i if i else None, t, 1, 2) for i, t in enumerate(texts)], "doc_id long, text string, start int, anchor int")
-    return {r.doc_id or 0: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in repeated_passages(docs).collect()}
+    return {r.doc_id or 0: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in repeated_passages(docs, **options).collect()}
 
 
 def test_against_brute_force(spark):
@@ -79,6 +79,12 @@ def test_against_brute_force(spark):
     assert rows_of(spark, texts) == dict(enumerate(brute(texts)))
 
 
+@pytest.mark.parametrize("most", [3, 12])
+def test_hot_anchors_are_split_without_change(spark, most):
+    texts = tricky(random.Random(12))
+    assert rows_of(spark, texts, most_in_shard=most) == dict(enumerate(brute(texts)))
+
+
 def test_blocks_change_nothing(spark, monkeypatch):
     texts = tricky(random.Random(10))[:30]
     monkeypatch.setattr(suffix_dedup, "_BLOCK", 64)

@@ -8,9 +8,11 @@ the same anchor are one segment.
 2. Equal segments are repeats as a whole; one of them stays as a witness.
 3. Where an anchor has different segments, they meet in one shard, and induced sorting with common-prefix
    values (``induced``) finds the windows that they share.
+   An anchor with very many different segments, at the edge of a passage that a third of all documents
+   share, is split by distance from the anchor first.
 4. Intervals of repeated windows are united by document and cut out.
 
-The three groupings combine map side or are joins that AQE can split; texts are read twice, and moved only by
+The three groupings combine map side or are joins that AQE can split; texts are read four times, and moved only by
 the two joins that need them.
 """
 
@@ -18,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -173,13 +176,78 @@ def _removed(kind: str):
     return remove, f"doc_id {kind}, {columns}"
 
 
-def repeated_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+# Distances from the anchor lie in one cell of this width; halving it ends at single windows.
+_WIDEST = 256
+
+
+def _halves(rows: DataFrame, width: int) -> DataFrame:
+    """Contexts split where the distance from the anchor passes a half of its cell.
+
+    The new key holds the bytes that all windows of the half have in common, so equal windows keep equal keys.
+    """
+    half = width // 2
+    high, low = F.col("off") + 1, F.col("off") - F.col("run") + 1  # distances of the windows, high exclusive
+    cell = low - F.pmod(low, F.lit(width))
+    sides = F.explode(F.array(cell, cell + half)).alias("side")
+    parts = rows.select("*", high.alias("high"), low.alias("low"), sides)
+    parts = parts.withColumns(
+        {"lower": F.greatest("low", "side"), "upper": F.least("high", F.col("side") + half)}
+    ).where("lower < upper")
+    skipped = F.col("high") - F.col("upper")  # windows left out before
+    core = F.substring("bytes", F.col("high") - F.col("side"), F.lit(LEAST - half + 1))
+    taken = F.col("upper") - F.col("lower")
+    return parts.select(
+        *ROW_KEY,
+        (F.col("start") + skipped).cast("int").alias("start"),
+        taken.cast("int").alias("run"),
+        (F.col("upper") - 1).cast("int").alias("off"),
+        F.xxhash64("anchor", "side", core).alias("anchor"),
+        "alone",
+        F.substring("bytes", skipped + 1, taken + LEAST - 1).alias("bytes"),
+    )
+
+
+def _split_hot(contexts: DataFrame, most: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Contexts of which no more than ``most`` share an anchor, and the intervals found on the way.
+
+    Anchors that more contexts share are split by distance, again and again; equal parts are counted map side and merged, parts
+    without a partner are done. Parts of one window are equal or have no partner, so it ends.
+    """
+    names = [c.split()[0] for c in _CONTEXT.split(", ")]
+    cold, found, width, rows = [], [], _WIDEST, contexts
+    while True:
+        hot = stored(rows.groupBy("anchor").count().where(F.col("count") > most).select("anchor"), "hot")
+        if hot.isEmpty():
+            cold.append(rows)
+            break
+        cold.append(rows.join(hot, "anchor", "left_anti").select(*names))
+        parts = _halves(rows.join(hot, "anchor", "left_semi").select(*names), width)
+        width //= 2
+        parts = stored(parts.withColumn("content", F.xxhash64("off", "run", "bytes")), "parts")
+        groups = parts.groupBy("anchor", "content").agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min(F.struct(*ROW_KEY, "start", "run", "off", "alone", "bytes")).alias("first"),
+        )
+        groups = stored(groups, "groups")
+        equal = parts.where("alone").join(groups.where("n > 1").select("anchor", "content"), ["anchor", "content"], "left_semi")
+        found.append(equal.select(*ROW_KEY, F.col("start").alias("low"), (F.col("start") + F.col("run")).alias("high")))
+        mixed = groups.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("anchor")
+        left = groups.join(stored(mixed, "mixed"), "anchor", "left_semi")
+        left = left.select("first.*", "anchor", (F.col("first.alone") & (F.col("n") == 1)).alias("single"))
+        rows = stored(left.withColumn("alone", F.col("single")).select(*names), "rows")
+    return reduce(DataFrame.unionByName, cold), found
+
+
+def repeated_passages(
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", most_in_shard: int = 50_000
+) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256``, ``spans``.
 
     ``spans`` are the maximal runs of bytes (UTF-8) that lie in a 200-byte string which also starts
     anywhere else in the table, in the same document too; matches never cross documents. ``kept_sha256`` is
     of the other bytes. Null counts as empty; texts under 200 bytes lose nothing. Rows that repeat a text lose all of it, from
     200 bytes on. Ids may be null or repeat; other columns are ignored. An empty table gives no row.
+    Anchors with more than ``most_in_shard`` different contexts are split first; the result is the same.
     """
     rows = keyed(docs, F.col(id_col).alias("doc_id"), F.col(text_col).alias("__text"))
     texts = rows.select(*ROW_KEY, "__text")
@@ -204,10 +272,11 @@ def repeated_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     wanted = wanted.groupBy(*ROW_KEY).agg(
         F.collect_list(F.struct("start", "run", "off", "anchor", "alone")).alias("wanted")
     )
-    contexts = texts.join(wanted, list(ROW_KEY)).mapInArrow(_contexts, _CONTEXT)
-    shared = contexts.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_shared, _INTERVAL)
+    contexts = stored(texts.join(wanted, list(ROW_KEY)).mapInArrow(_contexts, _CONTEXT), "contexts")
+    cold, found = _split_hot(contexts, most_in_shard)
+    shared = cold.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_shared, _INTERVAL)
 
-    windows = stored(whole.unionByName(shared), "windows")
+    windows = stored(reduce(DataFrame.unionByName, [whole, *found, shared]), "windows")
     by_row = windows.groupBy(*ROW_KEY).agg(F.collect_list(F.struct("low", "high")).alias("windows"))
     remove, schema = _removed(dict(rows.dtypes)["doc_id"])
     return rows.join(by_row, list(ROW_KEY), "left").select("doc_id", "__text", "windows").mapInArrow(remove, schema)
