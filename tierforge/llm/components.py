@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierforge.llm.common import stored
+from tierforge.operators.lookup import spread
 
 
 def _least(edges: DataFrame) -> DataFrame:
-    """Every edge ``(a, b)`` with ``m``, the least of ``a`` and all its neighbours."""
-    least = F.least("a", F.min("b").over(Window.partitionBy("a")))
-    return edges.select("a", "b", least.alias("m"))
+    """Every edge ``(a, b)`` with ``m``, the least of ``a`` and all its neighbours.
+
+    The least neighbours are found map side first and joined back. Both sides of the join are
+    shuffled, so that the edges of a node with very many neighbours can be split.
+    """
+    neighbours = edges.groupBy("a", spread("a")).agg(F.min("b").alias("least")).select("a", "least")
+    return edges.join(neighbours, "a").select("a", "b", F.least("a", "least").alias("m"))
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
