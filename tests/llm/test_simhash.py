@@ -43,6 +43,15 @@ def test_fingerprint():
         assert fingerprint((text or "").encode()) == brute_fingerprint(text)
 
 
+def test_components_of_a_star(spark):
+    """One node with nearly all links, in the middle of the order, and a tail."""
+    edges = spark.range(0, 20000).selectExpr("if(id = 5000, 20001, 5000) as a", "id as b").where("a <> b")
+    edges = edges.unionByName(spark.createDataFrame([(20002, 19999), (-3, -4)], "a long, b long"))
+    got = connected_components(edges)
+    assert sorted(map(tuple, got.groupBy("component").count().collect())) == [(-4, 2), (0, 20002)]
+    assert got.select("node").distinct().count() == got.count()
+
+
 def test_components(spark):
     rng = random.Random(2)
     chain = [(i, i + 1) for i in range(100, 160)]
