@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -292,6 +293,41 @@ def _(spark, sf):
     return report
 
 
+_REPORT_COLUMNS = {
+    "monthly_revenue": ("month", "total_revenue", "total_orders"),
+    "top_products": ("product_category_name", "total_orders", "total_revenue"),
+    "region_revenue": ("customer_state", "total_orders", "total_revenue"),
+    "payment_method": ("payment_type", "total_orders", "total_revenue", "avg_installments"),
+    "delivery_performance": ("delivery_status", "total_orders", "avg_delivery_days"),
+    "review_by_delivery": ("delivery_status", "avg_review_score"),
+}
+
+
+@query(
+    "end_to_end_columns",
+    "\nUNION ALL\n".join(
+        f"SELECT 'gold_{name}' AS report, {key} AS item, '{value}' AS measure, CAST({value} AS DOUBLE) AS value "
+        f"FROM ({sql.SILVER_REPORTS[name]})"
+        for name, (key, *values) in _REPORT_COLUMNS.items()
+        for value in values
+    ),
+    *[name for name in sql.TABLES if name.startswith("silver_") and name != "silver_sellers"],
+)
+def _(spark, sf):
+    """Every column of every report that a whole run has stored."""
+    _, lake_dir = whole_run(spark, sf)
+    parts = []
+    for name, (key, *values) in _REPORT_COLUMNS.items():
+        report = read_layer(spark, f"{lake_dir}/{LAYERS['gold']}", f"gold_{name}")
+        if set(report.columns) != {key, *values}:
+            raise ValueError(f"gold_{name} has columns {report.columns}")
+        measures = [F.struct(F.lit(v).alias("measure"), F.col(v).cast("double").alias("value")) for v in values]
+        parts.append(
+            report.select(F.lit(f"gold_{name}").alias("report"), F.col(key).alias("item"), F.inline(F.array(*measures)))
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
 _SILVER_TABLES = [name for name in sql.TABLES if name.startswith("silver_")]
 
 

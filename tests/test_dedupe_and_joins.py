@@ -182,3 +182,20 @@ def test_hot_left_keys_are_split(spark, skewed, join):
 def test_a_side_grouped_by_the_join_keys_cannot_be_split(spark, skewed):
     dim = spark.range(0, 1000, 1, 8).selectExpr("concat('k', id) as k")
     assert not splits_skew(join_preaggregated(skewed, dim, "k", {"n": F.count(F.lit(1))}, keys_repeat=False))
+
+
+def test_compressed_files_are_not_broadcast_unmeasured(spark, tmp_path):
+    """Files below the threshold whose rows are above it: the plan before the run joins by shuffle."""
+    assert spark.conf.get("spark.sql.sources.fileCompressionFactor") == "4.0"
+    path = str(tmp_path / "dim")
+    spark.range(0, 300_000, 1, 1).selectExpr("id as k", "cast(id % 7 as string) as label").write.parquet(path)
+    size = sum(file.stat().st_size for file in (tmp_path / "dim").iterdir())
+    facts = spark.range(0, 5_000_000).selectExpr("id as k", "id as v")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(2 * size))
+        assert "BroadcastHashJoin" not in plan(left_lookup(facts, spark.read.parquet(path), "k"))
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(8 * size))
+        assert "BroadcastHashJoin" in plan(left_lookup(facts, spark.read.parquet(path), "k"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -6,7 +6,8 @@ reduced to one row per key before the join and its row count carried along
 (``pre_aggregate``). The result is the same; the difference is that a key with any
 share of the rows is combined before the shuffle, which AQE could not repair, as it
 never splits the right side of a left outer join. ``order_id`` is the key of the
-orders table, so the orders side has no hot key.
+orders table, so the orders side has no hot key. ``pre_aggregate=False`` is the plain join,
+for comparison: there one task receives all rows of a hot key of the many side.
 """
 
 from __future__ import annotations

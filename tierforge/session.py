@@ -19,6 +19,8 @@ SESSION_SETTINGS = {
     # Join by hash, without sorting, where AQE has measured every partition to be small. The measure is of
     # compressed shuffle data, which may take ten times as much in memory, and a hash table cannot spill.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "16m",
+    # Before a run sides of a join are measured by their compressed files, which take several times as much in memory.
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     "spark.sql.legacy.timeParserPolicy": "CORRECTED",
     "spark.sql.session.timeZone": "UTC",
 }
