@@ -1,3 +1,4 @@
+import itertools
 import random
 import re
 
@@ -93,3 +94,41 @@ def test_query_columns_and_empty_table(spark, tmp_path):
     rows = {r.doc_id: r for r in op7_license_scan(spark, str(tmp_path / "b")).collect()}
     assert (rows[None].n_words, rows[None].n_base, rows[None].first_word, rows[None].labels) == (0, 0, None, "")
     assert (rows[1].first_word, rows[1].last_word, rows[1].base_labels) == (0, 0, "mit") and rows[1].score == pytest.approx(0.8)
+
+
+def alternatives(items, all_of_them):
+    """Texts that the parsed pattern matches: all, or as few as show each alternative once. Digits are 1."""
+
+    def each(op, arg):
+        if str(op) == "LITERAL":
+            return [chr(arg)]
+        if str(op) == "IN":
+            return ["1" if str(o) == "CATEGORY" else chr(a) for o, a in arg]
+        if str(op) == "BRANCH":
+            return [text for branch in arg[1] for text in alternatives(branch, all_of_them)]
+        if str(op) == "SUBPATTERN":
+            return alternatives(arg[3], all_of_them)
+        assert str(op) == "MAX_REPEAT", op
+        return [""] * (arg[0] == 0) + alternatives(arg[2], all_of_them)
+
+    parts = [each(op, arg) for op, arg in items]
+    if all_of_them:
+        return ["".join(chosen) for chosen in itertools.product(*parts)]
+    most = max(map(len, parts), default=1)
+    return ["".join(part[i % len(part)] for part in parts) for i in range(most)]
+
+
+def test_every_alternative_has_a_keyword_and_passes_the_gate():
+    for rule in signature_rules():
+        for text in alternatives(re._parser.parse(rule.pattern), True):
+            assert any(k in text for k in rule.keyword.split("|")), (rule.label, text)
+            assert re.search(_GATE, f" {text} "), (rule.label, text)
+
+
+def test_every_alternative_is_found(spark):
+    texts = [text for rule in signature_rules() for text in alternatives(re._parser.parse(rule.pattern), False)]
+    texts = sorted({*texts, "distributed on an as is basis without warranties or conditions of any kind either express or implied"})
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
+    for row in scan_licenses(docs).collect():
+        found = sorted((d.start, d.end, d.label) for d in row.detections)
+        assert found and found == brute_kept(row.text), row.text

@@ -1,7 +1,7 @@
 """License detection by ordered signature rules, in DataFrame expressions only.
 
 A text becomes lower-cased words between single spaces. A rule is a regular expression over
-such words, looked at only where its keyword occurs. Detections are intervals of words; one
+such words, looked at only where one of its keywords occurs. Detections are intervals of words; one
 that lies inside the interval of a rule of higher priority, or of a longer or earlier rule of
 the same priority, is suppressed.
 """
@@ -23,7 +23,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 class Rule(NamedTuple):
     label: str
-    keyword: str
+    keyword: str  # one or more joined by |; every text the pattern matches must contain one of them
     pattern: str
     priority: int
     weight: float
@@ -33,7 +33,7 @@ class Rule(NamedTuple):
 # Rules by priority: 1 identifier tag, 2 grant, 3 name, 4 characteristic sentence or address.
 # Label, keyword, pattern of the name, words of the identifier.
 NAMES = [
-    ("mit", "mit", r"(?:mit|expat) licen[sc]e", "mit"),
+    ("mit", "mit|expat", r"(?:mit|expat) licen[sc]e", "mit"),
     ("mit-0", "attribution", r"mit no attribution(?: licen[sc]e)?", "mit 0"),
     ("x11", "x11", r"x11 licen[sc]e", "x11"),
     ("isc", "isc", r"isc licen[sc]e", "isc"),
@@ -116,7 +116,7 @@ NAMES = [
     ("afl-3.0", "academic", r"academic free licen[sc]e(?: (?:version |v)?3 0)?", "afl 3 0"),
     ("upl-1.0", "universal", r"universal permissive licen[sc]e", "upl 1 0"),
     ("blueoak-1.0.0", "oak", r"blue oak model licen[sc]e(?: 1 0 0)?", "blueoak 1 0 0"),
-    ("openrail", "rail", r"(?:open ?rail(?: m| s)?|responsible ai) licen[sc]e", "openrail"),
+    ("openrail", "rail|responsible", r"(?:open ?rail(?: m| s)?|responsible ai) licen[sc]e", "openrail"),
     ("llama-community", "community", r"llama(?: \d)*(?: \d)? community licen[sc]e(?: agreement)?", "llama community"),
 ]
 
@@ -160,18 +160,18 @@ SENTENCES = [
     ("cc-by-nd", "creativecommons", r"creativecommons org licen[sc]es by nd(?: \d \d)?"),
     ("cc-by-nc-sa", "creativecommons", r"creativecommons org licen[sc]es by nc sa(?: \d \d)?"),
     ("cc-by-nc-nd", "creativecommons", r"creativecommons org licen[sc]es by nc nd(?: \d \d)?"),
-    ("ofl-1.1", "font", r"scripts sil org ofl"),
+    ("ofl-1.1", "sil", r"scripts sil org ofl"),
     ("public-domain", "public", r"(?:released|placed|dedicated) (?:in|into|to) the public domain"),
     ("public-domain", "public", r"this (?:work|file|code) is in the public domain"),
     ("proprietary", "rights", r"all rights reserved"),
     ("proprietary", "proprietary", r"(?:proprietary and confidential|confidential and proprietary)"),
     ("proprietary", "unauthorized", r"unauthorized copying of this file"),
-    ("warranty-disclaimer", "warranty", r"without (?:any )?warrant(?:y|ies)(?: or conditions)? of any kind"),
+    ("warranty-disclaimer", "warrant", r"without (?:any )?warrant(?:y|ies)(?: or conditions)? of any kind"),
     ("warranty-disclaimer", "warranty", r"provided as is without (?:any )?(?:express or implied )?warranty"),
     ("copyright-notice", "copyright", r"copyright (?:c )?(?:19|20)\d\d"),
-    ("see-license", "license", r"see (?:the )?(?:accompanying )?licen[sc]e(?: txt| md)?(?: file)? for"),
+    ("see-license", "licen", r"see (?:the )?(?:accompanying )?licen[sc]e(?: txt| md)?(?: file)? for"),
     ("eula", "agreement", r"end user licen[sc]e agreement"),
-    ("research-only", "research", r"(?:for )?(?:academic|research|non ?commercial)(?: research)? (?:use|purposes) only"),
+    ("research-only", "academic|research|commercial", r"(?:for )?(?:academic|research|non ?commercial)(?: research)? (?:use|purposes) only"),
 ]
 
 # The base phrases and their labels.
@@ -200,7 +200,7 @@ _GATE = (
     r"endorse|advertising|misrepresented|altered|compliance|free|notice|attribution) "
 )
 
-_RULE = "label string, keyword string, pattern string, priority int, weight double, base boolean"
+_RULE = "label string, keyword array<string>, pattern string, priority int, weight double, base boolean"
 _SPAN = "array<struct<start:bigint,neg_end:bigint,priority:int,rule:int,label:string,weight:double,base:boolean>>"
 
 
@@ -253,7 +253,7 @@ def scan_licenses(docs: DataFrame, rules: Sequence[Rule] | None = None, *, text_
     """
     require(docs, [text_col])
     rules = signature_rules() if rules is None else rules
-    listed = [{"no": no, **rule._asdict()} for no, rule in enumerate(rules)]
+    listed = [{"no": no, **rule._asdict(), "keyword": rule.keyword.split("|")} for no, rule in enumerate(rules)]
     all_rules = F.from_json(F.lit(json.dumps(listed)), f"array<struct<no:int,{_RULE.replace(' ', ':').replace(',:', ',')}>>")
 
     plain = F.trim(F.regexp_replace(text_or_empty(text_col), NO_WORD, " "))
@@ -263,7 +263,7 @@ def scan_licenses(docs: DataFrame, rules: Sequence[Rule] | None = None, *, text_
         found = bind(
             framed,
             lambda x: F.flatten(
-                F.transform(F.filter(all_rules, lambda r: F.contains(x, r.keyword)), lambda r: _places(x, r))
+                F.transform(F.filter(all_rules, lambda r: F.exists(r.keyword, lambda k: F.contains(x, k))), lambda r: _places(x, r))
             ),
         )
         gated = F.concat(F.lit(" "), words, F.lit(" ")).rlike(_GATE)
