@@ -8,6 +8,7 @@ anti-join that leaves the index unshuffled, and what is new is appended.
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,10 +24,11 @@ def normalised(text: str | Column) -> Column:
 
 
 class DigestIndex:
-    """Digests seen so far and the id of the row that was kept for each.
+    """Digests seen so far, the id of the row that was kept for each and the batch it came with.
 
     ``buckets`` is fixed when the table is made: about index bytes / 256 MB. Adding the
-    same data twice changes nothing, so a failed run can simply be repeated. Runs that
+    same data twice changes nothing. A failed run can be repeated under the name of its batch:
+    digests of that batch count as new again, so its rows are kept again. Runs that
     add must not overlap.
     """
 
@@ -36,7 +38,7 @@ class DigestIndex:
     def _append(self, df: DataFrame) -> None:
         # As many shuffle partitions as buckets, dealt by the same hash: one file a bucket.
         (
-            df.select("digest", "keep_id")
+            df.select("digest", "keep_id", "batch")
             .repartition(self.buckets, "digest")
             .write.mode("append")
             .format("parquet")
@@ -48,21 +50,25 @@ class DigestIndex:
 
     def rows(self, id_type: str = "bigint") -> DataFrame:
         if not self.spark.catalog.tableExists(self.name):
-            self._append(self.spark.createDataFrame([], f"digest binary, keep_id {id_type}"))
+            self._append(self.spark.createDataFrame([], f"digest binary, keep_id {id_type}, batch string"))
+        elif "batch" not in self.spark.table(self.name).columns:  # made before batches had names
+            self.spark.sql(f"ALTER TABLE `{self.name}` ADD COLUMNS (batch string)")
         return self.spark.table(self.name)
 
-    def add(self, groups: DataFrame) -> DataFrame:
+    def add(self, groups: DataFrame, batch: str) -> DataFrame:
         """Appends the unseen digests of ``groups`` (``digest``, ``keep_id``; one row each).
 
-        Returns ``groups`` with the index's ``keep_id`` and whether the digest ``is_new``.
+        Returns ``groups`` with the index's ``keep_id`` and whether the digest ``is_new``:
+        unseen, or added by this ``batch`` before.
         """
         known = self.rows(dict(groups.dtypes)["keep_id"])
         fresh = stored(groups.join(known.hint("merge"), "digest", "left_anti"), "fresh")
-        old = groups.drop("keep_id").join(known.hint("merge"), "digest").withColumn("is_new", F.lit(False))
+        old = groups.drop("keep_id").join(known.hint("merge"), "digest")
+        old = old.withColumn("is_new", F.coalesce(F.col("batch") == batch, F.lit(False))).drop("batch")
         resolved = stored(
             fresh.withColumn("is_new", F.lit(True)).unionByName(old), "resolved"
         )
-        self._append(fresh)
+        self._append(fresh.withColumn("batch", F.lit(batch)))
         return resolved
 
     def drop_entry(self) -> None:
@@ -70,8 +76,24 @@ class DigestIndex:
         self.spark.sql(f"DROP TABLE IF EXISTS `{self.name}`")
 
 
+def _shares(digests: DataFrame, parts: int) -> list[DataFrame]:
+    """``digests`` by rising ``doc_id``, rows of one id together, null ids last."""
+    if parts == 1:
+        return [digests]
+    bounds = sorted(set(digests.approxQuantile("doc_id", [i / parts for i in range(1, parts)], 0.01)))
+    number = sum((F.coalesce(F.col("doc_id").cast("double") > b, F.lit(True)).cast("int") for b in bounds), F.lit(0))
+    return [digests.where(number == i) for i in range(len(bounds) + 1)]
+
+
 def exact_dedup(
-    docs: DataFrame, index: DigestIndex, *, id_col: str = "doc_id", text_col: str = "text", keep_key: bool = False
+    docs: DataFrame,
+    index: DigestIndex,
+    *,
+    batch: str | None = None,
+    parts: int = 1,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    keep_key: bool = False,
 ) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``.
 
@@ -81,6 +103,10 @@ def exact_dedup(
     ``keep_id``, and none of its new rows stays. ``group_size`` counts rows of ``docs``.
     Other columns are ignored. An empty table gives no row. ``keep_key`` adds ``ROW_KEY``.
 
+    ``batch`` names the run, so that it can be repeated if it fails before its result is written;
+    without it every call is a batch of its own. With ``parts`` above 1 (numeric ids) the rows are
+    added to the index in about as many equal shares, smaller ids first; the result is the same.
+
     Groups are counted map side first, so a text that a third of all rows share costs
     no more than others; the last join lies directly on two shuffles, which AQE can split.
     """
@@ -93,9 +119,22 @@ def exact_dedup(
         "digests",
     )
     order = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", *ROW_KEY)
-    groups = digests.groupBy("digest").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("group_size"))
-    groups = stored(groups.withColumn("keep_id", F.col("first.doc_id")), "groups")
-    resolved = index.add(groups)
+    batch = uuid.uuid4().hex if batch is None else batch
+    added = []
+    for share in _shares(digests, parts):
+        groups = share.groupBy("digest").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("group_size"))
+        added.append(index.add(stored(groups.withColumn("keep_id", F.col("first.doc_id")), "groups"), batch))
+    resolved = reduce(DataFrame.unionByName, added)
+    if len(added) > 1:
+        # All shares have the index's keep_id; the smallest first row is of the share that brought the digest.
+        # Stored, so that the last join lies directly on two shuffles here too.
+        whole = resolved.groupBy("digest").agg(
+            F.min("first").alias("first"),
+            F.sum("group_size").alias("group_size"),
+            F.min("keep_id").alias("keep_id"),
+            F.max("is_new").alias("is_new"),
+        )
+        resolved = stored(whole, "whole")
     out = digests.join(resolved, "digest")
     return out.select(
         "doc_id",
@@ -114,7 +153,7 @@ def fresh_index(spark: SparkSession, buckets: int = 64) -> DigestIndex:
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = fresh_index(spark)
-    result = exact_dedup(table(spark, sf_dir, "documents"), index)
+    result = exact_dedup(table(spark, sf_dir, "documents"), index, parts=2)
     index.drop_entry()
     return result
 
