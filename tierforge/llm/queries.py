@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tierforge.llm.decontamination import OP6_SQL, op6_benchmark_decontamination
 from tierforge.llm.exact_dedup import OP4_SQL, op4_exact_dedup
+from tierforge.llm.hard_negatives import OP11_SQL, op11_hard_negatives
 from tierforge.llm.html_extraction import op10_html_extraction
 from tierforge.llm.language_id import op1_language_id
 from tierforge.llm.license_scan import op7_license_scan
@@ -24,9 +25,11 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_quality_rules": op9_quality_rules,
     "op10_html_extraction": op10_html_extraction,
+    "op11_hard_negatives": op11_hard_negatives,
 }
 
 ORACLES = {
     "op4_exact_dedup": OP4_SQL,
     "op6_benchmark_decontamination": OP6_SQL,
+    "op11_hard_negatives": OP11_SQL,
 }
