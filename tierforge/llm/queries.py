@@ -13,6 +13,7 @@ from tierforge.llm.quality_rules import op9_quality_rules
 from tierforge.llm.secret_scan import op8_secret_scan
 from tierforge.llm.simhash import op5_simhash_near_dedup
 from tierforge.llm.suffix_dedup import op2_suffix_dedup
+from tierforge.llm.tokenizer_alignment import op12_tokenizer_alignment
 
 QUERIES = {
     "op1_language_id": op1_language_id,
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_quality_rules": op9_quality_rules,
     "op10_html_extraction": op10_html_extraction,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_tokenizer_alignment": op12_tokenizer_alignment,
 }
 
 ORACLES = {
