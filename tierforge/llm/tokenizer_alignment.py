@@ -14,6 +14,7 @@ import base64
 import functools
 import hashlib
 import re
+from array import array
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
@@ -29,15 +30,15 @@ _BLANK = "▁"
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _BYTE_CUT = re.compile(rb"(?<=[!-~]) (?=[!-~])")
 _BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
-_FAN = 16
+# Fragments joined at a time, and texts aligned at a time.
+_FAN, _ROWS = 16, 256
 
 
 class Closed(NamedTuple):
-    """Whole groups: links as pair numbers, groups as text, tokens of the first tokenizer, and whether the bytes agree."""
+    """Whole groups, as the ids of both tokenizers (little-endian, unsigned, 32 bits), and whether the bytes agree."""
 
-    links: bytes = b""
-    groups: bytes = b""
-    n_a: int = 0
+    a: bytes = b""
+    b: bytes = b""
     whole: bool = True
 
 
@@ -54,27 +55,32 @@ EDGE = Fragment(b"", Closed(), b"")
 
 
 def together(parts: list[Closed]) -> Closed:
-    return Closed(
-        b"".join([p.links for p in parts]),
-        b";".join([p.groups for p in parts if p.groups]),
-        sum([p.n_a for p in parts]),
-        all([p.whole for p in parts]),
-    )
+    return Closed(b"".join([p.a for p in parts]), b"".join([p.b for p in parts]), all([p.whole for p in parts]))
+
+
+def _digits(numbers: int) -> np.ndarray:
+    """A row of bytes for each number: room for a sign before it, then its decimal digits; zero where there is none."""
+    size = len(str(numbers - 1))
+    text = "".join(f"\0{n}".ljust(size + 1, "\0") for n in range(numbers))
+    return np.frombuffer(text.encode(), dtype=np.uint8).reshape(numbers, size + 1)
 
 
-class Aligner(dict):
-    """Closed groups of units, that is, of texts between two sure cuts, both tokenizers applied.
+class Aligner:
+    """Ids of units, that is, of texts between two sure cuts, by both tokenizers.
 
     ``ranks`` and ``pattern`` are a byte-level BPE vocabulary, ``model`` a BPE model of pieces that stands a blank
-    before the text. As many as ``remembered`` short units are kept, by their text after the leading space; ``None``
-    marks what cannot stand between single spaces.
+    before the text. Units are remembered without their leading space, until they and their ids take ``remembered`` bytes.
     """
 
-    def __init__(self, ranks: str, pattern: str, model: str, remembered: int = 200_000):
+    def __init__(self, ranks: str, pattern: str, model: str, remembered: int = 1 << 24):
         import sentencepiece
         import tiktoken
 
-        self.remembered = remembered
+        self.remembered, self.held = remembered, 0
+        # Ids of a unit; None where it cannot stand between single spaces. Those in ``bad`` lose bytes.
+        self.a: dict[str, bytes | None] = {}
+        self.b: dict[str, bytes] = {}
+        self.bad: set[str] = set()
         with open(ranks, "rb") as lines:
             known = {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, lines)}
         fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=known, special_tokens={})
@@ -91,50 +97,62 @@ class Aligner(dict):
             bytes([int(found[1], 16)]) if (found := _BYTE_PIECE.fullmatch(text)) else text.replace(_BLANK, " ").encode()
             for text in texts
         ]
+        self.a_size, self.b_size = (np.array([len(t) for t in tokens], dtype=np.int64) for tokens in (self.a_bytes, self.b_bytes))
         self.width = len(self.b_bytes)
+        self.digits = _digits(max(len(self.a_bytes), self.width))
 
-    def __missing__(self, word: str) -> Closed | None:
-        apart = word and not word[0].isspace() and not word[-1].isspace()
-        found = self.unit(" " + word) if apart else None
-        if len(word) <= 64:
-            if len(self) >= self.remembered:
-                self.clear()
-            self[word] = found
-        return found
+    def _same(self, a: list[int], b: list[int], raw: bytes) -> bool:
+        return b"".join([self.a_bytes[i] for i in a]) == raw == b"".join([self.b_bytes[i] for i in b])
 
     def unit(self, text: str) -> Closed:
         """``text`` starts with a space."""
-        raw = text.encode()
         a, b = self.first(text), self.second(text[1:])
-        a_parts, b_parts = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-        if b"".join(a_parts) != raw or b"".join(b_parts) != raw:
+        if not self._same(a, b, text.encode()):
             return Closed(whole=False)
-        links, groups, at_a, at_b = [], [], 0, 0
-        i, j, end_a, end_b = 0, 0, len(a_parts[0]), len(b_parts[0])
-        while True:
-            links.append(a[i] * self.width + b[j])
-            if end_a == end_b:
-                groups.append(",".join(map(str, a[at_a : i + 1])) + "|" + ",".join(map(str, b[at_b : j + 1])))
-                at_a, at_b = i + 1, j + 1
-                if at_a == len(a):
-                    break
-            step_a, step_b = end_a <= end_b, end_b <= end_a
-            if step_a:
-                i += 1
-                end_a += len(a_parts[i])
-            if step_b:
-                j += 1
-                end_b += len(b_parts[j])
-        return Closed(np.array(links, dtype=np.int64).tobytes(), ";".join(groups).encode(), len(a), True)
+        return Closed(array("I", a).tobytes(), array("I", b).tobytes())
+
+    def _learn(self, units: set[str]) -> None:
+        """Units that can stand between single spaces are encoded together, and told apart by their bytes."""
+        whole = [u for u in units if u and not u[0].isspace() and not u[-1].isspace()]
+        self.a.update(dict.fromkeys(units))
+        sizes = [len(u.encode()) + 1 for u in whole]
+        text = " " + " ".join(whole)
+        a, b = (self.first(text), self.second(text[1:])) if whole else ([], [])
+        if whole and self._same(a, b, text.encode()):
+            ends = np.cumsum(sizes)
+            for ids, size, known in ((a, self.a_size, self.a), (b, self.b_size, self.b)):
+                after = 4 * (np.searchsorted(np.cumsum(size[ids]), ends) + 1)
+                data, at = array("I", ids).tobytes(), 0
+                for u, stop in zip(whole, after.tolist(), strict=True):
+                    known[u] = data[at:stop]
+                    at = stop
+        else:
+            for u in whole:
+                self.a[u], self.b[u], same = self.unit(" " + u)
+                if not same:
+                    self.bad.add(u)
+        self.held += sum(sizes) + 4 * (len(a) + len(b))
+
+    def _joined(self, units: list[str]) -> Closed:
+        whole = not self.bad or self.bad.isdisjoint(units)
+        return Closed(b"".join([self.a[u] for u in units]), b"".join([self.b[u] for u in units]), whole)
 
     def document(self, text: str) -> Closed:
         """A whole text, with a space before it."""
         if not text:
             return Closed(whole=False)
-        parts = [self[word] for word in text.split(" ")]
-        if None in parts:
-            parts = [self[unit] or self.unit(" " + unit) for unit in _CUT.split(text)]
-        return together(parts)
+        if self.held > self.remembered:
+            self.a, self.b, self.bad, self.held = {}, {}, set(), 0
+        words = text.split(" ")
+        if missing := {w for w in words if w not in self.a}:
+            self._learn(missing)
+        try:
+            return self._joined(words)
+        except TypeError:
+            # White space other than single spaces between words.
+            units = _CUT.split(text)
+        self._learn({u for u in units if u not in self.a})
+        return together([self.unit(" " + u) if self.a[u] is None else self._joined([u]) for u in units])
 
     def fragment(self, data: bytes) -> Fragment:
         """A byte range of a text with a space before it; it may begin and end within a character."""
@@ -155,6 +173,48 @@ class Aligner(dict):
         return Fragment(x.prefix, together([x.closed, *middle, y.closed]), y.suffix)
 
 
+    def aligned(self, found: list[Closed]) -> list[pa.Array]:
+        """The columns ``_ALIGNED`` of whole texts; ``pairs`` are distinct and come with how often each is linked.
+
+        The texts lie one after the other. A link ends where a token of either ends.
+        """
+        found = [c if c.whole else Closed() for c in found]
+        a, b = (np.frombuffer(b"".join(ids), dtype="<u4").astype(np.int64) for ids in ([c.a for c in found], [c.b for c in found]))
+        n_a, n_b = (np.array(list(map(len, ids)), dtype=np.int64) // 4 for ids in ([c.a for c in found], [c.b for c in found]))
+        number = np.arange(len(found))
+        text_a, text_b = np.repeat(number, n_a), np.repeat(number, n_b)
+        end_a, end_b = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
+        over_a, over_b = np.searchsorted(end_b, end_a), np.searchsorted(end_a, end_b)
+        closes_a, closes_b = end_b[over_a] == end_a, end_a[over_b] == end_b
+
+        space = len(self.a_bytes) * self.width
+        ends = [text_a * space + a * self.width + b[over_a], (text_b * space + a[over_b] * self.width + b)[~closes_b]]
+        distinct, times = np.unique(np.concatenate(ends), return_counts=True)
+        pairs = distinct - (of := distinct // space) * space
+        offsets = pa.array(np.searchsorted(of, np.arange(len(found) + 1)).astype(np.int32))
+        n_groups = np.bincount(text_a[closes_a], minlength=len(found))
+
+        # Group by group, first the ids of the one tokenizer and then those of the other, each behind its sign.
+        group_a, group_b = np.cumsum(closes_a) - closes_a, np.cumsum(closes_b) - closes_b
+        place_a = np.arange(len(a)) + np.concatenate([[0], np.flatnonzero(closes_b) + 1])[group_a]
+        place_b = np.arange(len(b)) + (np.flatnonzero(closes_a) + 1)[group_b]
+        opens_a, opens_b = (np.concatenate([[True], closes[:-1]])[: len(closes)] for closes in (closes_a, closes_b))
+        signs = np.empty((len(a) + len(b), self.digits.shape[1]), dtype=np.uint8)
+        signs[place_a], signs[place_b] = self.digits[a], self.digits[b]
+        signs[place_a, 0], signs[place_b, 0] = np.where(opens_a, ord(";"), ord(",")), np.where(opens_b, ord("|"), ord(","))
+        starts = np.concatenate([[0], np.cumsum(n_a + n_b)])
+        signs[starts[:-1][n_a > 0], 0] = 0
+        there = signs != 0
+        byte = np.concatenate([[0], np.cumsum(there.sum(axis=1))])[starts].tolist()
+        data = signs[there].tobytes()
+        digests = [hashlib.sha256(data[x:y]).hexdigest() if x < y else "" for x, y in zip(byte[:-1], byte[1:], strict=True)]
+        return [
+            *map(pa.array, (n_a, n_b, n_groups, n_a + n_b - n_groups, digests)),
+            pa.ListArray.from_arrays(offsets, pa.array(pairs)),
+            pa.ListArray.from_arrays(offsets, pa.array(times.astype(np.int32))),
+        ]
+
+
 @functools.cache
 def public_aligner() -> Aligner:
     """One for each Python process, with the units it remembers."""
@@ -164,7 +224,7 @@ def public_aligner() -> Aligner:
 
 
 _ALIGNED = "n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string, pairs array<bigint>, times array<int>"
-_FRAGMENT = "prefix binary, closed boolean, suffix binary, links binary, `groups` binary, n_a bigint, whole boolean"
+_FRAGMENT = "prefix binary, closed boolean, suffix binary, a binary, b binary, whole boolean"
 
 
 def _lists(columns: list[np.ndarray], kind: pa.DataType) -> pa.Array:
@@ -172,25 +232,8 @@ def _lists(columns: list[np.ndarray], kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([*columns, []]).astype(kind.to_pandas_dtype()), kind))
 
 
-def _aligned(found: list[Closed]) -> list[pa.Array]:
-    """The columns ``_ALIGNED`` of whole texts; ``pairs`` are distinct and come with how often each is linked."""
-    found = [c if c.whole else Closed() for c in found]
-    links = [np.frombuffer(c.links, dtype=np.int64) for c in found]
-    distinct = [np.unique(x, return_counts=True) for x in links]
-    n_a, n_links = np.array([c.n_a for c in found], np.int64), np.array([len(x) for x in links], np.int64)
-    n_groups = np.array([c.groups.count(b"|") for c in found], np.int64)
-    # A group of p and q tokens has p + q - 1 links, since its tokens have only the ends in common.
-    n_b = n_links + n_groups - n_a
-    digests = [hashlib.sha256(c.groups).hexdigest() if c.groups else "" for c in found]
-    return [
-        *map(pa.array, (n_a, n_b, n_groups, n_links, digests)),
-        _lists([d[0] for d in distinct], pa.int64()),
-        _lists([d[1] for d in distinct], pa.int32()),
-    ]
-
-
 def _names(schema: str) -> list[str]:
-    return [field.split()[0].strip("`") for field in schema.split(", ")]
+    return [field.split()[0] for field in schema.split(", ")]
 
 
 def _long_texts(rows: DataFrame, kind: str, aligner: Callable[[], Aligner], chunk_bytes: int) -> DataFrame:
@@ -229,7 +272,7 @@ def _long_texts(rows: DataFrame, kind: str, aligner: Callable[[], Aligner], chun
         part = part.sort_values("no")
         whole = None
         for row in part.itertuples(index=False):
-            closed = Closed(row.links, row.groups, row.n_a, row.whole) if row.closed else None
+            closed = Closed(row.a, row.b, row.whole) if row.closed else None
             one = Fragment(row.prefix, closed, row.suffix)
             whole = one if whole is None else own.join(whole, one)
         fields = dict(zip(_names(_FRAGMENT), _columns([whole]), strict=True))
@@ -240,10 +283,10 @@ def _long_texts(rows: DataFrame, kind: str, aligner: Callable[[], Aligner], chun
         for batch in batches:
             found = []
             for row in batch.to_pylist():
-                closed = Closed(row["links"], row["groups"], row["n_a"], row["whole"]) if row["closed"] else None
+                closed = Closed(row["a"], row["b"], row["whole"]) if row["closed"] else None
                 inner = Fragment(row["prefix"], closed, row["suffix"])
                 found.append(own.join(own.join(EDGE, inner), EDGE).closed)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *_aligned(found)], names=["doc_id", *_names(_ALIGNED)])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *own.aligned(found)], names=["doc_id", *_names(_ALIGNED)])
 
     chunks = rows.mapInArrow(cut, f"{keys}, data binary").repartition(*number)
     fragments = stored(chunks.mapInArrow(encode, f"{keys}, {_FRAGMENT}"), "fragments")
@@ -262,9 +305,8 @@ def _columns(found: list[Fragment]) -> list[list]:
         [f.prefix for f in found],
         [f.closed is not None for f in found],
         [f.suffix for f in found],
-        [c.links for c in closed],
-        [c.groups for c in closed],
-        [c.n_a for c in closed],
+        [c.a for c in closed],
+        [c.b for c in closed],
         [c.whole for c in closed],
     ]
 
@@ -283,9 +325,9 @@ def aligned_texts(
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = aligner()
-        for batch in batches:
+        for batch in (part.slice(at, _ROWS) for part in batches for at in range(0, part.num_rows, _ROWS)):
             found = [own.document(text) for text in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *_aligned(found)], names=["doc_id", *_names(_ALIGNED)])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *own.aligned(found)], names=["doc_id", *_names(_ALIGNED)])
 
     is_long = F.coalesce(F.octet_length("text") > chunk_bytes, F.lit(False))
     short = rows.where(~is_long).select("doc_id", "text").mapInArrow(align, f"doc_id {kind}, {_ALIGNED}")
