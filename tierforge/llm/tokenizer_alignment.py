@@ -69,10 +69,10 @@ class Aligner:
     """Ids of units, that is, of texts between two sure cuts, by both tokenizers.
 
     ``ranks`` and ``pattern`` are a byte-level BPE vocabulary, ``model`` a BPE model of pieces that stands a blank
-    before the text. Units are remembered without their leading space, until they and their ids take ``remembered`` bytes.
+    before the text. Units are remembered without their leading space, until they are ``remembered`` many; long ones count more.
     """
 
-    def __init__(self, ranks: str, pattern: str, model: str, remembered: int = 1 << 24):
+    def __init__(self, ranks: str, pattern: str, model: str, remembered: int = 200_000):
         import sentencepiece
         import tiktoken
 
@@ -131,7 +131,7 @@ class Aligner:
                 self.a[u], self.b[u], same = self.unit(" " + u)
                 if not same:
                     self.bad.add(u)
-        self.held += sum(sizes) + 4 * (len(a) + len(b))
+        self.held += len(units) + sum(sizes) // 64
 
     def _joined(self, units: list[str]) -> Closed:
         whole = not self.bad or self.bad.isdisjoint(units)
