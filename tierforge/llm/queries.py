@@ -14,6 +14,7 @@ from tierforge.llm.secret_scan import op8_secret_scan
 from tierforge.llm.simhash import op5_simhash_near_dedup
 from tierforge.llm.suffix_dedup import op2_suffix_dedup
 from tierforge.llm.tokenizer_alignment import op12_tokenizer_alignment
+from tierforge.llm.toxicity import op13_toxicity
 
 QUERIES = {
     "op1_language_id": op1_language_id,
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_html_extraction": op10_html_extraction,
     "op11_hard_negatives": op11_hard_negatives,
     "op12_tokenizer_alignment": op12_tokenizer_alignment,
+    "op13_toxicity": op13_toxicity,
 }
 
 ORACLES = {
