@@ -1,0 +1,100 @@
+"""Files with line breaks in quotes: read in splits, with the rows of Spark's own whole-file reader."""
+
+import random
+
+import pytest
+
+from tierforge.sources import CORRUPT, read_raw_csv
+from tierforge.sources.quoted_csv import read_quoted_splits, regular_files
+
+SMALL_SPLITS = {"spark.sql.files.maxPartitionBytes": "700b", "spark.sql.files.openCostInBytes": "1b"}
+
+
+@pytest.fixture
+def splits(spark):
+    before = {name: spark.conf.get(name) for name in SMALL_SPLITS}
+    for name, value in SMALL_SPLITS.items():
+        spark.conf.set(name, value)
+    yield spark
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def cell(rng, ends):
+    kind = rng.random()
+    if kind < 0.5:
+        parts = ["a", "b", "é", ",", " ", '""', ends, "\n", "x y", "1", '""""']
+        return '"' + "".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) + '"'
+    return rng.choice(["", '""', "a b", " x ", "12;", "é"])
+
+
+def random_file(rng, ends, header="id,text,c", records=250):
+    rows = [",".join(cell(rng, ends) for _ in range(rng.choice([3] * 9 + [2, 4]))) for _ in range(records)]
+    return ends.join([header, *rows]) + rng.choice(["", ends, ends * 2])
+
+
+def write(path, text):
+    path.write_bytes(text.encode())
+    return str(path)
+
+
+def collected(df):
+    return sorted(map(str, map(tuple, df.collect())))
+
+
+@pytest.mark.parametrize(("ends", "header"), [("\n", "id,text,c"), ("\r\n", "id,text,c"), ("\n", 'id,"te\nxt",c'), ("\n", "﻿id,text,c")])
+def test_splits_give_the_rows_of_a_whole_read(splits, tmp_path, ends, header):
+    path = write(tmp_path / "a.csv", random_file(random.Random(header + ends), ends, header))
+    whole = read_raw_csv(splits, path, multiline=True)
+    names = [name for name in whole.columns if name != CORRUPT]
+    assert set(regular_files(splits, [path]).values()) == {True}
+    assert splits.read.text(path, lineSep="\n").rdd.getNumPartitions() > 8
+    want = collected(whole)
+    assert collected(read_quoted_splits(splits, [path], names, CORRUPT)) == want
+    auto = read_raw_csv(splits, path, multiline="auto")
+    assert auto.columns == whole.columns and collected(auto) == want
+    without = read_raw_csv(splits, path, multiline="auto", corrupt_column=None, columns=["x", "y`z", "w"])
+    assert collected(without) == collected(read_raw_csv(splits, path, corrupt_column=None, columns=["x", "y`z", "w"]))
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        'a,b\n5" pipe,"x\ny"\n7,8\n',  # a quote in a bare field
+        'a,b\n1,"x"y\n2,"p\nq"\n',  # text after a quoted field
+        'a,b\n1,"x\ny"\n2,"open\n3,4\n',  # never closed
+        '\n\na,b\n1,"x\ny"\n',  # blank lines first
+        'a,b\n1, "x\ny"\n',  # a blank before the quote
+        'a,"b\nc"\r\n1,"x\r\ny"\r\n',  # two kinds of line breaks
+        'a,b\r1,"x\ny"\r2,3\r',  # returns alone
+    ],
+)
+def test_irregular_files_are_read_as_a_whole(splits, tmp_path, text):
+    path = write(tmp_path / "a.csv", text)
+    assert collected(read_raw_csv(splits, path, multiline="auto")) == collected(read_raw_csv(splits, path, multiline=True))
+
+
+def test_a_record_over_many_splits(splits, tmp_path):
+    long = "\n".join(f"line {n}, with a comma" for n in range(400))
+    path = write(tmp_path / "a.csv", f'a,b\n1,"{long}"\n2,x\n3,"y\nz"\n')
+    assert set(regular_files(splits, [path]).values()) == {True}
+    got = {r.a: r.b for r in read_raw_csv(splits, path, multiline="auto").collect()}
+    assert got == {"1": long, "2": "x", "3": "y\nz"}
+
+
+def test_regular_and_other_files_of_one_table(splits, tmp_path):
+    rng = random.Random(5)
+    (tmp_path / "many").mkdir()
+    write(tmp_path / "many/a.csv", random_file(rng, "\n"))
+    write(tmp_path / "many/b.csv", random_file(rng, "\r\n"))
+    write(tmp_path / "many/c.csv", 'id,text,c\n1,5" pipe,"x\ny"\n')
+    write(tmp_path / "many/d.csv", "id,text,c\n1,2,3\n")
+    folder = str(tmp_path / "many")
+    assert collected(read_raw_csv(splits, folder, multiline="auto")) == collected(read_raw_csv(splits, folder, multiline=True))
+
+
+def test_only_lines_of_longer_records_move(splits, tmp_path):
+    """The text is dealt out once, by split; after that only pieces of longer records are."""
+    path = write(tmp_path / "a.csv", random_file(random.Random(6), "\n"))
+    plan = read_quoted_splits(splits, [path], ["id", "text", "c"], CORRUPT)._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and "multiLine" not in plan.split("FileScan")[1]

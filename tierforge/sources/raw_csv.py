@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from tierforge.sources.quoted_csv import regular_files, read_quoted_splits
+
 CORRUPT = "_corrupt_record"
 
 _QUOTED = "\u0001"
@@ -83,8 +85,10 @@ def read_raw_csv(
     whose headers name different columns raise. (With an encoding other than UTF-8 all headers must be equal.)
 
     Spark cannot split a file that is read with ``multiline=True``: one file is one
-    task. Land big tables as many files, or use ``multiline="auto"``, which reads every file in
-    splits in which ``has_record_per_line`` proves the result to be the same.
+    task. ``multiline="auto"`` gives the same rows and reads files in splits: line by line those in which
+    ``has_record_per_line`` proves every line to be a record, by ``read_quoted_splits`` those with line breaks in quoted
+    fields. Left as one task each are files whose quotes are not regular (see ``regular_files``), or, with line
+    breaks in quotes, escaped otherwise than by doubled quotes.
     """
     utf8 = encoding.upper() == "UTF-8"
 
@@ -111,12 +115,22 @@ def read_raw_csv(
             .csv(paths)
         )
 
+    def read_whole(paths: Sequence[str], names: Sequence[str] | None) -> list[DataFrame]:
+        """Files that hold line breaks: in splits where their lines can be told apart, else one task each."""
+        regular = regular_files(spark, paths)
+        split, odd = ([file for file, good in regular.items() if good is wanted] for wanted in (True, False))
+        names = names if names is not None else reader(True).csv((split or odd)[0]).columns
+        parts = [read_quoted_splits(spark, split, names, corrupt_column)] if split else []
+        return [*parts, read(odd, True, names)] if odd else parts
+
     auto = multiline == "auto"
     listed = spark.read.text(path).inputFiles()
     if not utf8 or len(listed) < 2:
         whole = (not utf8 or not has_record_per_line(spark, path, escape)) if auto else multiline
         if utf8 and columns is None:
             columns = reader(whole).csv(path).columns
+        if auto and whole and utf8 and escape == '"':
+            return reduce(DataFrame.unionByName, read_whole([path] if isinstance(path, str) else path, columns))
         return read(path, whole, columns)
 
     groups: dict[tuple, list[str]] = {}
@@ -129,5 +143,5 @@ def read_raw_csv(
         names = columns if columns is not None else reader(whole).csv(paths[0]).columns
         if parts and set(names) != set(parts[0].columns) - {corrupt_column}:
             raise ValueError(f"{paths[0]} has columns {', '.join(names)}; others have {', '.join(parts[0].columns)}")
-        parts.append(read(paths, whole, names))
+        parts += read_whole(paths, names) if auto and whole and escape == '"' else [read(paths, whole, names)]
     return reduce(DataFrame.unionByName, parts)
