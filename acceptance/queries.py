@@ -17,7 +17,7 @@ from tierforge.plans.checks import key_check
 from tierforge.plans.run import LAYERS
 from tierforge.session import scratch_path
 from tierforge.sinks import preview, publish_table, write_layer
-from tierforge.sources import CORRUPT, ingest_all, read_layer, read_table_or_path
+from tierforge.sources import CORRUPT, ingest_all, land_new, read_landed, read_layer, read_table_or_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[Query, str | None]] = {}
@@ -458,6 +458,82 @@ def _(spark, sf):
     return read_layer(spark, f"{base}/brz", "bronze_documents").drop(CORRUPT)
 
 
+def _write_files(rows: DataFrame, folder: str, name: str) -> None:
+    """``rows`` as two files ``folder/name_0.csv`` and ``folder/name_1.csv``, replacing those that are there."""
+    spark = rows.sparkSession
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    beside = hadoop(scratch_path(spark, name))
+    rows.repartition(2).write.option("header", True).csv(beside.toString())
+    files = beside.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(hadoop(folder))
+    parts = sorted(f.getPath().toString() for f in files.listStatus(beside) if f.getPath().getName().endswith(".csv"))
+    for number, part in enumerate(parts):
+        target = hadoop(f"{folder}/{name}_{number}.csv")
+        files.delete(target, False)
+        files.rename(hadoop(part), target)
+
+
+def _landed_thrice(spark, sf):
+    """Customers in files by nation are landed; some files are changed, some added, and all are landed again, twice."""
+    base = scratch_path(spark, "ledger")
+    customers = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")
+    share = F.col("c_nationkey") % 3
+    batches = (
+        {"a": customers.where(share == 0), "b": customers.where(share == 1)},
+        {"b": customers.where((share == 1) & (F.col("c_custkey") % 2 == 0)), "c": customers.where(share == 2)},
+        {},
+    )
+    runs = []
+    for number, batch in enumerate(batches):
+        for name, rows in batch.items():
+            _write_files(rows, f"{base}/raw", name)
+        runs.append(land_new(spark, f"{base}/raw/*.csv", f"{base}/brz", "bronze_customers").withColumn("run", F.lit(number)))
+    return base, runs
+
+
+@query(
+    "ledger_status",
+    """SELECT run, action, part, rows FROM (VALUES (0, 'landed', 0), (0, 'landed', 1), (1, 'unchanged', 0), (1, 'replaced', 3),
+              (1, 'landed', 2), (2, 'unchanged', 0), (2, 'unchanged', 3), (2, 'unchanged', 2)) v(run, action, part)
+       JOIN (SELECT c_nationkey % 3 AS part, count(*) AS rows FROM customer GROUP BY 1
+             UNION ALL SELECT 3, count(*) FROM customer WHERE c_nationkey % 3 = 1 AND c_custkey % 2 = 0) USING (part)""",
+)
+def _(spark, sf):
+    runs = reduce(DataFrame.unionByName, _landed_thrice(spark, sf)[1])
+    name = F.regexp_extract("path", "/([abc])_[01].csv", 1)
+    part = F.when(name == "a", 0).when(name == "c", 2).when(F.col("run") == 0, 1).otherwise(3)
+    return runs.groupBy("run", "action", part.alias("part")).agg(F.sum("rows").alias("rows"))
+
+
+@query(
+    "ledger_rows",
+    """SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey FROM customer
+       WHERE c_nationkey % 3 <> 1 OR c_custkey % 2 = 0""",
+)
+def _(spark, sf):
+    base, _runs = _landed_thrice(spark, sf)
+    return read_landed(spark, f"{base}/brz", "bronze_customers").drop(CORRUPT)
+
+
+@query(
+    "bronze_quoted_splits",
+    """SELECT CAST(doc_id AS VARCHAR) AS doc_id, text || chr(10) || '"' || lang || '", ' || chr(10) || chr(10) || source AS text,
+              CAST(n_chars AS VARCHAR) AS n_chars FROM documents""",
+)
+def _(spark, sf):
+    """Files whose every record has line breaks, commas and quotes in a quoted field, read in several splits each."""
+    base = scratch_path(spark, "splits")
+    text = F.concat("text", F.lit('\n"'), "lang", F.lit('", \n\n'), "source")
+    write_csv(table(spark, sf, "documents").select("doc_id", text.alias("text"), "n_chars"), f"{base}/raw/texts.csv")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+    try:
+        ingest_all(spark, [("texts.csv", "bronze_texts")], f"{base}/raw", f"{base}/brz", strict=True)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    return read_layer(spark, f"{base}/brz", "bronze_texts").drop(CORRUPT)
+
+
 @query(
     "bronze_backslash",
     "SELECT " + ", ".join(f"nullif(CAST({c} AS VARCHAR), '') AS {c}" for c in ("conv_id", "turn", "role", "text"))

@@ -91,6 +91,8 @@ def regular_files(spark: SparkSession, paths: Sequence[str]) -> dict[str, bool]:
     Not regular are files with a line that is not regular, with a quote left open at the end, or whose first line is
     blank or has a carriage return elsewhere than at its end.
     """
+    if not paths:
+        return {}
     found = _lines(spark, paths)
     value = _without_return(F.col("value"))
     first = (F.col("block") == 0) & (F.col("place") == 1)
@@ -104,7 +106,11 @@ def regular_files(spark: SparkSession, paths: Sequence[str]) -> dict[str, bool]:
 
 
 def read_quoted_splits(
-    spark: SparkSession, paths: Sequence[str], names: Sequence[str], corrupt_column: str | None
+    spark: SparkSession,
+    paths: Sequence[str],
+    names: Sequence[str],
+    corrupt_column: str | None,
+    file_column: str | None = None,
 ) -> DataFrame:
     """The records of regular files with a header, all columns text; as with Spark's ``multiLine``, but split.
 
@@ -112,7 +118,7 @@ def read_quoted_splits(
     """
     found = _lines(spark, paths)
     lines = found.lines
-    single = lines.where("before = 0 AND after = 0").where("NOT (block = 0 AND place = 1)").select("value", "returns")
+    single = lines.where("before = 0 AND after = 0").where("NOT (block = 0 AND place = 1)").select("file", "value", "returns")
 
     pieces = lines.where("before = 1 OR after = 1")
     so_far = Window.partitionBy("file", "block").orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -126,7 +132,7 @@ def read_quoted_splits(
     parts = F.array_sort(F.collect_list(F.struct("block", "place", "value")))
     joined = pieces.groupBy("file", "returns", began.alias("began"))
     joined = joined.agg(F.array_join(F.transform(parts, lambda p: p.value), "\n").alias("value"))
-    joined = joined.where("NOT (began.block = 0 AND began.last = 1)").select("value", "returns")
+    joined = joined.where("NOT (began.block = 0 AND began.last = 1)").select("file", "value", "returns")
 
     records = single.unionAll(joined).withColumn("value", _without_return(F.col("value"))).where("value <> ''")
     # Spark's reader takes the line break of the file for a line feed within quotes, too.
@@ -136,8 +142,8 @@ def read_quoted_splits(
     if corrupt_column is not None:
         options |= {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt_column}
     quoted = [f"`{name.replace('`', '``')}`" for name in wanted]
-    parsed = records.select("value", F.from_csv(text, ", ".join(f"{name} string" for name in quoted), options).alias("record"))
+    parsed = records.select("file", "value", F.from_csv(text, ", ".join(f"{name} string" for name in quoted), options).alias("record"))
     columns = [F.col(f"record.{name}") for name in quoted]
     if corrupt_column is not None:
         columns[-1] = F.when(columns[-1].isNotNull(), F.col("value")).alias(corrupt_column)
-    return parsed.select(*columns)
+    return parsed.select(*columns, *([] if file_column is None else [F.col("file").alias(file_column)]))

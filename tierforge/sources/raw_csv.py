@@ -75,19 +75,22 @@ def read_raw_csv(
     encoding: str = "UTF-8",
     escape: str = '"',
     corrupt_column: str | None = CORRUPT,
+    file_column: str | None = None,
 ) -> DataFrame:
     """Headered CSV as all-string columns.
 
     Rows with too few or too many fields keep their text in ``corrupt_column``
     (``None`` leaves it out). ``columns`` replaces the names found in the header.
 
+    ``file_column`` adds the path of the file that each row stands in.
+
     Several files may have their columns in different order: each is read by its own header. Files
     whose headers name different columns raise. (With an encoding other than UTF-8 all headers must be equal.)
 
     Spark cannot split a file that is read with ``multiline=True``: one file is one
     task. ``multiline="auto"`` gives the same rows and reads files in splits: line by line those in which
     ``has_record_per_line`` proves every line to be a record, by ``read_quoted_splits`` those with line breaks in quoted
-    fields. Left as one task each are files whose quotes are not regular (see ``regular_files``), or, with line
+    fields that are larger than one split. Left as one task each are files whose quotes are not regular (see ``regular_files``), or, with line
     breaks in quotes, escaped otherwise than by doubled quotes.
     """
     utf8 = encoding.upper() == "UTF-8"
@@ -106,21 +109,23 @@ def read_raw_csv(
             names = checked.csv(paths).columns
             checked = checked.option("enforceSchema", False)
         fields = [StructField(name, StringType()) for name in names]
-        if corrupt_column is None:
-            return checked.schema(StructType(fields)).csv(paths)
-        return (
-            checked.option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", corrupt_column)
-            .schema(StructType([*fields, StructField(corrupt_column, StringType())]))
-            .csv(paths)
-        )
+        if corrupt_column is not None:
+            checked = checked.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt_column)
+            fields.append(StructField(corrupt_column, StringType()))
+        rows = checked.schema(StructType(fields)).csv(paths)
+        return rows if file_column is None else rows.select("*", F.col("_metadata.file_path").alias(file_column))
 
-    def read_whole(paths: Sequence[str], names: Sequence[str] | None) -> list[DataFrame]:
+    def read_whole(paths: list[str], names: Sequence[str] | None) -> list[DataFrame]:
         """Files that hold line breaks: in splits where their lines can be told apart, else one task each."""
-        regular = regular_files(spark, paths)
-        split, odd = ([file for file, good in regular.items() if good is wanted] for wanted in (True, False))
+        # What is one split anyway is read as a whole; one row a file reaches the driver.
+        sizes = spark.read.format("binaryFile").load(paths).select("path", "length").collect()
+        one_split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+        odd = sorted(unquote(file.path) for file in sizes if file.length <= one_split)
+        regular = regular_files(spark, sorted(unquote(file.path) for file in sizes if file.length > one_split))
+        split = [file for file, good in regular.items() if good]
+        odd += [file for file, good in regular.items() if not good]
         names = names if names is not None else reader(True).csv((split or odd)[0]).columns
-        parts = [read_quoted_splits(spark, split, names, corrupt_column)] if split else []
+        parts = [read_quoted_splits(spark, split, names, corrupt_column, file_column)] if split else []
         return [*parts, read(odd, True, names)] if odd else parts
 
     auto = multiline == "auto"
@@ -130,7 +135,7 @@ def read_raw_csv(
         if utf8 and columns is None:
             columns = reader(whole).csv(path).columns
         if auto and whole and utf8 and escape == '"':
-            return reduce(DataFrame.unionByName, read_whole([path] if isinstance(path, str) else path, columns))
+            return reduce(DataFrame.unionByName, read_whole([path] if isinstance(path, str) else list(path), columns))
         return read(path, whole, columns)
 
     groups: dict[tuple, list[str]] = {}
@@ -141,7 +146,7 @@ def read_raw_csv(
     parts = []
     for (_, whole), paths in groups.items():
         names = columns if columns is not None else reader(whole).csv(paths[0]).columns
-        if parts and set(names) != set(parts[0].columns) - {corrupt_column}:
+        if parts and set(names) != set(parts[0].columns) - {corrupt_column, file_column}:
             raise ValueError(f"{paths[0]} has columns {', '.join(names)}; others have {', '.join(parts[0].columns)}")
         parts += read_whole(paths, names) if auto and whole and escape == '"' else [read(paths, whole, names)]
     return reduce(DataFrame.unionByName, parts)
