@@ -21,8 +21,18 @@ def test_blocks():
     assert leaf_blocks("<script>never closed <p>x") == []
 
 
+def test_no_text_is_lost_behind_silent_elements():
+    texts = lambda html: [b.text for b in leaf_blocks(html)]
+    for tag in ('<svg class="i"/>', "<math/>", "<svg viewBox='0 0 9 9'><path d='x'/>drawn</svg>", "<math><mi>x</mi></math >"):
+        assert texts(f"<p>Icon {tag} here.</p><p>Second</p>") == ["Icon here.", "Second"]
+    for tag in ("title", "iframe", "noscript", "template", "svg", "object", "canvas", "video"):
+        assert texts(f"<p>one</p><{tag} a=b><p>two</p><p>three</p>") == ["one", "two", "three"]
+        assert texts(f"<p>one</p><{tag}><p>two</p></{tag.upper()} ><p>three</p>") == ["one", "three"]
+        assert texts(f"<p>one</{tag}></p><p>three</p>") == ["one", "three"]
+
+
 def test_broken_and_long_pages_are_linear():
-    for piece in ("<div", "<div>", "<a 'x", '<p class="', "<", "</p>", "<!--", "<b><i>", "<td>", "&#x41;"):
+    for piece in ("<svg>", "<svg/>", "<title>x", "</svg>", "<iframe></iframe><svg>", "<div", "<div>", "<a 'x", '<p class="', "<", "</p>", "<!--", "<b><i>", "<td>", "&#x41;"):
         leaf_blocks(piece * 50_000)
 
 

@@ -8,14 +8,19 @@ from collections.abc import Set
 from html import unescape
 from typing import NamedTuple
 
-# Text of these is no text of the page.
-_SILENT = "script|style|template|noscript|title|svg|math|iframe|object|canvas|audio|video"
+# Text of these is no text of the page, up to the end tag. Where it is missing the first two go on to the page's end, as in
+# a browser; the others are passed over as single tags, so that no text is lost.
+_RAW = "script|style"
+_SILENT = {
+    tag: re.compile(rf"</{tag}\s*>", re.I)
+    for tag in "template noscript title svg math iframe object canvas audio video".split()
+}
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)"
-    rf"|<({_SILENT})\b(?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</\1\s*>|\Z)"
+    rf"|<({_RAW})\b(?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</\1\s*>|\Z)"
     r"|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/<>]*+)((?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
-    r"|<(/?)([a-zA-Z][^\s/<>]*+)([^<>]*)>",
+    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/<>]*+)(?P<rest>(?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
+    r"|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/<>]*+)(?P<rest2>[^<>]*)>",
     re.S | re.I,
 )
 _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -111,17 +116,26 @@ def leaf_blocks(html: str) -> list[Block]:
             links.clear()
 
     at = 0
-    for token in _TOKEN.finditer(html):
+    unended: set[str] = set()
+    while (token := _TOKEN.search(html, at)) is not None:
         if token.start() > at:
             text_of(html[at : token.start()])
         at = token.end()
-        tag = token[3] or token[6]
+        tag = token["tag"] or token["tag2"]
         if tag is None:
             continue
-        tag, closing, attributes = tag.lower(), token[2] or token[5], token[4] or token[7] or ""
+        tag, closing, attributes = tag.lower(), token["end"] or token["end2"], token["rest"] or token["rest2"] or ""
         if tag == "br":
             pending.append("\n")
             continue
+        if tag in _SILENT:
+            # Foreign elements are closed by a slash before the bracket.
+            if not closing and not attributes.endswith("/") and tag not in unended:
+                end = _SILENT[tag].search(html, at)
+                at = end.end() if end else at
+                if not end:
+                    unended.add(tag)
+            continue
         if tag not in _INLINE:
             flush()
         if closing:

@@ -332,8 +332,8 @@ def fit_network(
         network.scale, network.shift = np.zeros(3), float(np.log(share / (1 - share)))
         return network
     starts = np.array(_hint(texts, y, shape))
-    # A fifth of the texts only settles how logits become probabilities.
-    kept = filled & (np.arange(len(texts)) % 5 == 0)
+    # A tenth of the texts only settles how logits become probabilities.
+    kept = filled & (np.arange(len(texts)) % 10 == 0)
     if y[kept].min(initial=1) == y[kept].max(initial=0):
         kept = filled
     learned = filled if kept is filled else filled & ~kept
