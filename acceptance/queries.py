@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from acceptance import sql, views
@@ -435,12 +435,6 @@ def _(spark, sf):
         spark.sql(f"DROP DATABASE {database} CASCADE")
 
 
-@query("run_profiles", """SELECT payment_type AS item, CAST(count(*) AS DOUBLE) AS value FROM silver_order_payments GROUP BY 1""", "silver_order_payments")
-def _(spark, sf):
-    profiles = whole_run(spark, sf)[0].profiles
-    return profiles.where("`table` = 'silver_order_payments' AND metric = 'frequency'").select("item", "value")
-
-
 _DOCUMENT_TEXTS = ", ".join(
     f"nullif(CAST({c} AS VARCHAR), '') AS {c}" for c in ("doc_id", "text", "lang", "source", "n_chars")
 )
@@ -1144,13 +1138,24 @@ _PROFILE_SQL = {
 }
 
 
+def _rounded_means(profile: DataFrame, amounts: Column) -> DataFrame:
+    """Means of ``amounts`` to four digits, as in the SQL."""
+    mean = (F.col("metric") == "mean") & amounts
+    return profile.withColumn("value", F.when(mean, F.round("value", 4)).otherwise(F.col("value")))
+
+
 def profiled(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    profile = plans.PROFILES[name](silver(spark, sf, name))
-    if name == "silver_order_items":
-        profile = profile.withColumn(
-            "value", F.when(F.col("metric") == "mean", F.round("value", 4)).otherwise(F.col("value"))
-        )
-    return profile
+    return _rounded_means(plans.PROFILES[name](silver(spark, sf, name)), F.lit(name == "silver_order_items"))
+
+
+@query(
+    "run_profiles",
+    "\nUNION ALL\n".join(f"SELECT '{name}' AS \"table\", * FROM ({twin}) t_{name}" for name, twin in _PROFILE_SQL.items()),
+    *_PROFILE_SQL,
+)
+def _(spark, sf):
+    """All that a whole run profiles, of every silver table."""
+    return _rounded_means(whole_run(spark, sf)[0].profiles, F.col("table") == "silver_order_items")
 
 
 for _name, _sql in _PROFILE_SQL.items():
