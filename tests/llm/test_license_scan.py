@@ -132,3 +132,11 @@ def test_every_alternative_is_found(spark):
     for row in scan_licenses(docs).collect():
         found = sorted((d.start, d.end, d.label) for d in row.detections)
         assert found and found == brute_kept(row.text), row.text
+
+
+def test_very_many_detections(spark):
+    text = "mit license x apache license " * 6000
+    row = scan_licenses(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    n, base = brute_base(text)
+    assert row.n_words == n
+    assert [(d.start, d.label) for d in row.detections if d.base] == base

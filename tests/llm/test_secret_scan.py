@@ -1,8 +1,9 @@
+import bisect
 import hashlib
 import random
 import re
 
-from tierforge.llm.secret_scan import KINDS, PARTNERS, WEAK, op8_secret_scan
+from tierforge.llm.secret_scan import KINDS, PARTNERS, WEAK, op8_secret_scan, scan_secrets
 
 KEYWORD = "password|passwd|secret|token|api_?key"
 ASSIGN = re.compile(rf"""((?ai:{KEYWORD}))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -57,3 +58,25 @@ def test_query_against_brute_force(spark, tmp_path):
 def test_empty_table(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
     assert op8_secret_scan(spark, str(tmp_path)).count() == 0
+
+
+def test_very_many_spans(spark):
+    # Far more than one block of the running sums; the last identifier's only partner is a secret before it.
+    some = ["deadbeefdeadbeef ", "user=alice ", "pwd=secret99 ", "é " * 150, "https://a.b/c "]
+    rng = random.Random(9)
+    text = "".join(rng.choice(some) for _ in range(20_000)) + "x " * 90 + "user=bob1"
+    got = scan_secrets(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    hexes = [(m.start(), m.end()) for m in re.finditer("(deadbeef)+", text)]
+    assert [(s.start, s.end) for s in got.base_spans] == hexes
+    places = {kind: [m.span() for m in re.finditer("(?a)" + WEAK[kind], text)] for kind in WEAK}
+    places["hex"] = hexes
+    linked = []
+    for kind in ("secret", "ident"):
+        others = sorted(p for name in PARTNERS[kind] for p in places.get(name, []))
+        starts, ends = [p[0] for p in others], sorted(p[1] for p in others)
+        for start, end in places[kind]:
+            after, before = bisect.bisect_left(starts, end), bisect.bisect_right(ends, start)
+            if after < len(starts) and starts[after] < end + 200 or before and ends[before - 1] > start - 200:
+                linked.append((start, end))
+    assert sorted((s.start, s.end) for s in got.spans if s.kind != "hex") == sorted(linked)
+    assert 1000 < len(linked) < len(places["secret"]) + len(places["ident"])

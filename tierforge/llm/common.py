@@ -82,6 +82,31 @@ def bind(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+_BLOCK = 512
+
+
+def running(values: Column, of, combine, start: Column, kind: str = "bigint") -> Column:
+    """For each of ``values``, ``start`` combined with ``of`` all values before it; ``combine`` is associative.
+
+    Array functions can only grow an array by copying it, so long arrays go by blocks, each from the total of those
+    before it: the cost is in proportion to the length up to some ten million values.
+    """
+
+    def scan(items: Column, first: Column, part) -> Column:
+        def step(acc: Column, item: Column) -> Column:
+            return F.struct(combine(acc.reach, part(item)).alias("reach"), F.array_append(acc.out, acc.reach).alias("out"))
+
+        state = F.struct(first.alias("reach"), F.array().cast(f"array<{kind}>").alias("out"))
+        return F.aggregate(items, state, step, lambda acc: acc.out)
+
+    # The last block is empty if the others hold all.
+    begins = F.sequence(F.lit(0), F.size(values), F.lit(_BLOCK))
+    blocks = F.transform(begins, lambda at: F.slice(values, at + 1, F.lit(_BLOCK)))
+    totals = F.transform(blocks, lambda block: F.aggregate(block, start, lambda acc, item: combine(acc, of(item))))
+    by_block = F.zip_with(blocks, scan(totals, start, lambda total: total), lambda block, first: scan(block, first, of))
+    return F.when(F.size(values) <= _BLOCK, scan(values, start, of)).otherwise(F.flatten(by_block))
+
+
 def located(text: Column, regex: Column, measure) -> Column:
     """Leftmost non-overlapping matches: array of ``start``, ``end``, ``text``.
 
@@ -90,18 +115,19 @@ def located(text: Column, regex: Column, measure) -> Column:
     """
     gaps = F.call_function("split", text, regex)
     found = F.call_function("regexp_extract_all", text, regex, F.lit(0))
+    # One gap follows the last match.
+    pairs = F.filter(F.arrays_zip(found.alias("text"), gaps.alias("before")), lambda pair: pair.text.isNotNull())
+    measured = F.transform(
+        pairs,
+        lambda p: F.struct(measure(p.before).alias("gap"), measure(p.text).alias("long"), p.text.alias("text")),
+    )
 
-    def step(acc: Column, item: Column) -> Column:
-        end = acc.pos + measure(item.found)
-        span = F.struct(acc.pos.alias("start"), end.alias("end"), item.found.alias("text"))
-        return F.struct((end + measure(item.gap)).alias("pos"), F.concat(acc.spans, F.array(span)).alias("spans"))
+    def placed(items: Column) -> Column:
+        def span(item: Column, before: Column) -> Column:
+            start = before + item.gap
+            return F.struct(start.alias("start"), (start + item.long).alias("end"), item.text.alias("text"))
 
-    def walk(g: Column) -> Column:
-        start = F.struct(
-            measure(g[0]).alias("pos"),
-            F.array().cast("array<struct<start:bigint,end:bigint,text:string>>").alias("spans"),
-        )
-        items = F.arrays_zip(found.alias("found"), F.slice(g, F.lit(2), F.size(g)).alias("gap"))
-        return F.aggregate(items, start, step, lambda acc: acc.spans)
+        before = running(items, lambda item: item.gap + item.long, lambda a, b: a + b, F.lit(0).cast("bigint"))
+        return F.zip_with(items, before, span)
 
-    return bind(gaps, walk)
+    return bind(measured, placed)

@@ -15,7 +15,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierforge.llm.common import bind, located, require, table, text_or_empty
+from tierforge.llm.common import bind, located, require, running, table, text_or_empty
 
 NO_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -224,23 +224,30 @@ def _places(words: Column, rule: Column) -> Column:
 def _unsuppressed(spans: Column) -> Column:
     """Without intervals inside one of higher priority, or of the same and sorted before; base spans stay."""
     levels = ("m1", "m2", "m3", "m4")
+    reach = ",".join(f"{name}:bigint" for name in levels)
 
-    def step(acc: Column, span: Column) -> Column:
-        end = -span.neg_end
+    # How far the intervals of each priority reach.
+    def ends(span: Column) -> Column:
+        here = [F.when(span.priority == level, -span.neg_end).otherwise(F.lit(-1)) for level in range(1, 5)]
+        return F.struct(*[end.cast("bigint").alias(name) for name, end in zip(levels, here, strict=True)])
+
+    def furthest(a: Column, b: Column) -> Column:
+        return F.struct(*[F.greatest(a[name], b[name]).alias(name) for name in levels])
+
+    none = F.struct(*[F.lit(-1).cast("bigint").alias(name) for name in levels])
+
+    def outside(pair: Column) -> Column:
         inside = F.lit(False)
         for level, name in enumerate(levels, 1):
-            inside = inside | ((span.priority >= level) & (acc[name] >= end))
-        kept = F.when(inside & ~span.base, acc.kept).otherwise(F.concat(acc.kept, F.array(span)))
-        reach = [
-            F.when(span.priority == level, F.greatest(acc[name], end)).otherwise(acc[name]).alias(name)
-            for level, name in enumerate(levels, 1)
-        ]
-        return F.struct(*reach, kept.alias("kept"))
-
-    start = F.struct(
-        *[F.lit(-1).cast("bigint").alias(name) for name in levels], F.array().cast(_SPAN).alias("kept")
-    )
-    return F.aggregate(F.array_sort(spans), start, step, lambda acc: acc.kept)
+            inside = inside | ((pair.span.priority >= level) & (pair.before[name] >= -pair.span.neg_end))
+        return ~inside | pair.span.base
+
+    def kept(s: Column) -> Column:
+        before = running(s, ends, furthest, none, f"struct<{reach}>")
+        pairs = F.zip_with(s, before, lambda span, b: F.struct(span.alias("span"), b.alias("before")))
+        return F.transform(F.filter(pairs, outside), lambda pair: pair.span)
+
+    return bind(F.array_sort(spans), kept)
 
 
 def scan_licenses(docs: DataFrame, rules: Sequence[Rule] | None = None, *, text_col: str = "text") -> DataFrame:
@@ -269,17 +276,18 @@ def scan_licenses(docs: DataFrame, rules: Sequence[Rule] | None = None, *, text_
         gated = F.concat(F.lit(" "), words, F.lit(" ")).rlike(_GATE)
         return F.struct(
             F.when(words == "", F.lit(0)).otherwise(_count(words) + 1).cast("bigint").alias("n_words"),
-            F.when(gated, _unsuppressed(found)).otherwise(F.array().cast(_SPAN)).alias("spans"),
+            F.when(gated, found).otherwise(F.array().cast(_SPAN)).alias("spans"),
         )
 
     scanned = docs.drop("n_words", "detections").withColumn("__scan", bind(plain, scan))
+    scanned = scanned.withColumn("__kept", _unsuppressed(F.col("__scan.spans")))
     as_detection = lambda s: F.struct(
         s.start.alias("start"), (-s.neg_end).alias("end"), s.label.alias("label"), s.priority.alias("priority"),
         s.weight.alias("weight"), s.base.alias("base"),
     )
     return scanned.withColumns(
-        {"n_words": F.col("__scan.n_words"), "detections": F.transform("__scan.spans", as_detection)}
-    ).drop("__scan")
+        {"n_words": F.col("__scan.n_words"), "detections": F.transform("__kept", as_detection)}
+    ).drop("__scan", "__kept")
 
 
 def _joined(labels: Column) -> Column:

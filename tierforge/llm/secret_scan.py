@@ -7,12 +7,10 @@ intervals, widened by ``reach`` code points, are joined by overlap.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierforge.llm.common import bind, located, require, table, text_or_empty
+from tierforge.llm.common import bind, located, require, running, table, text_or_empty
 
 # The base patterns.
 ASSIGN = r"""((?i)password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -41,7 +39,8 @@ PARTNERS = {
     "ident": ("assign", "hex", "secret"),
 }
 
-_SPANS = "array<struct<start:bigint,rank:int,end:bigint>>"
+_SPAN = "struct<start:bigint,rank:int,end:bigint>"
+_SPANS = f"array<{_SPAN}>"
 
 
 def _length(text: Column) -> Column:
@@ -68,19 +67,41 @@ def _is(span: Column, kinds: tuple[str, ...]) -> Column:
     return span["rank"].isin([KINDS.index(kind) for kind in kinds])
 
 
-def _linked(parts: Column, reach: int) -> Column:
-    """The weak parts with a partner whose interval overlaps theirs, widened by ``reach``."""
+def _of(spans: Column, kinds: tuple[str, ...]) -> Column:
+    return F.filter(spans, lambda span: _is(span, kinds))
+
+
+def _distinct(spans: Column) -> Column:
+    """Sorted, each once."""
+    return bind(F.array_sort(spans), lambda s: F.filter(s, lambda span, i: (i == 0) | (span != F.get(s, i - 1))))
 
-    def near(weak: Column) -> Column:
-        def meets(other: Column) -> Column:
-            close = (other.start < weak.end + reach) & (other.end > weak.start - reach)
-            apart = (other.start >= weak.end) | (other.end <= weak.start)
-            fits = [(weak["rank"] == KINDS.index(kind)) & _is(other, with_) for kind, with_ in PARTNERS.items()]
-            return close & apart & reduce(lambda a, b: a | b, fits)
 
-        return F.exists(parts, meets)
+def _after(weak: Column, partners: Column, reach: int, place, edge) -> Column:
+    """Weak parts whose ``edge`` lies less than ``reach`` after a partner's ``place``, or on it; one sweep over both, sorted."""
+    event = lambda at, span: F.struct(at.alias("at"), span.isNotNull().alias("weak"), span.alias("span"))
+    none = F.lit(None).cast(_SPAN)
+    events = F.concat(
+        F.transform(partners, lambda p: event(place(p), none)), F.transform(weak, lambda w: event(edge(w), w))
+    )
+
+    def swept(e: Column) -> Column:
+        # The greatest of nulls and places is the last place so far.
+        place_of = lambda one: F.when(~one.weak, one.at)
+        last = running(e, place_of, lambda a, b: F.greatest(a, b), F.lit(None).cast("bigint"))
+        close = lambda one, place: F.when(one.weak & (one.at - place < reach), one.span)
+        return F.filter(F.zip_with(e, last, close), lambda span: span.isNotNull())
 
-    return F.filter(parts, lambda p: _is(p, tuple(PARTNERS)) & near(p))
+    return bind(F.array_sort(events), swept)
+
+
+def _linked(parts: Column, reach: int) -> Column:
+    """The weak parts with a partner that does not overlap them, less than ``reach`` before or behind."""
+    near = []
+    for kind, with_ in PARTNERS.items():
+        weak, partners = _of(parts, (kind,)), _of(parts, with_)
+        near.append(_after(weak, partners, reach, lambda p: p.end, lambda w: w.start))
+        near.append(_after(weak, partners, reach, lambda p: -p.start, lambda w: -w.end))
+    return F.flatten(F.array(*near))
 
 
 def scan_secrets(docs: DataFrame, *, text_col: str = "text", reach: int = 200) -> DataFrame:
@@ -90,43 +111,41 @@ def scan_secrets(docs: DataFrame, *, text_col: str = "text", reach: int = 200) -
     by ``KINDS``; ``spans`` also has the linked weak parts. Null counts as
     empty; such texts have no spans. Rows stay rows and nothing is shuffled, so repeated
     rows, null ids and hot keys need no care; whole texts are searched, whatever their length.
-    Copying found spans makes a text's cost grow with the square of its number of secrets, at 8 bytes each.
+    A text's cost is in proportion to its length and its spans, up to the sorting of the spans.
     """
     require(docs, [text_col])
 
-    def scan(text: Column) -> Column:
-        strong = F.flatten(
-            F.array(
-                _found(text, "assign", ASSIGN, lambda m: _assigned(m) >= LEAST["assign"]),
-                _found(text, "access", _ACCESS_LONG, gate=F.contains(text, F.lit("AKIA"))),
-                _found(text, "hex", _HEX_LONG),
-            )
+    text, none = F.col("__text"), F.array().cast(_SPANS)
+    base = F.flatten(
+        F.array(
+            _found(text, "assign", ASSIGN, lambda m: _assigned(m) >= LEAST["assign"]),
+            _found(text, "access", _ACCESS_LONG, gate=F.contains(text, F.lit("AKIA"))),
+            _found(text, "hex", _HEX_LONG),
         )
-        short = _found(text, "secret", ASSIGN, lambda m: (_assigned(m) < LEAST["assign"]) & (_assigned(m) >= 6))
-        weak = F.flatten(F.array(_found(text, "secret", WEAK["secret"]), short, _found(text, "ident", WEAK["ident"])))
-
-        def link(base: Column) -> Column:
-            def with_weak(w: Column) -> Column:
-                parts = F.flatten(F.array(base, w, _found(text, "endpoint", WEAK["endpoint"])))
-                links = F.when(F.size(w) > 0, bind(parts, lambda p: _linked(p, reach)))
-                return F.struct(
-                    F.array_sort(base).alias("base"),
-                    F.array_sort(F.array_distinct(F.concat(base, F.coalesce(links, F.array().cast(_SPANS))))).alias("all"),
-                )
-
-            return bind(weak, with_weak)
-
-        return bind(strong, link)
-
+    )
+    short = _found(text, "secret", ASSIGN, lambda m: (_assigned(m) < LEAST["assign"]) & (_assigned(m) >= 6))
+    weak = F.flatten(F.array(_found(text, "secret", WEAK["secret"]), short, _found(text, "ident", WEAK["ident"])))
+    endpoints = F.when(F.size("__weak") > 0, _found(text, "endpoint", WEAK["endpoint"])).otherwise(none)
+    links = F.when(F.size("__weak") > 0, _linked(F.col("__parts"), reach)).otherwise(none)
+    scratch = ["__text", "__base", "__weak", "__parts", "__links"]
     kinds = F.array(*[F.lit(kind) for kind in KINDS])
     named = lambda s: F.struct(
         F.element_at(kinds, s["rank"] + 1).alias("kind"), s.start.alias("start"), s.end.alias("end")
     )
+    # Columns one after another: each is computed once, and the analyzer's rounds suffice for what is nested in one.
     return (
-        docs.drop("base_spans", "spans")
-        .withColumn("__scan", bind(text_or_empty(text_col), scan))
-        .withColumns({"base_spans": F.transform("__scan.base", named), "spans": F.transform("__scan.all", named)})
-        .drop("__scan")
+        docs.drop("base_spans", "spans", *scratch)
+        .withColumn("__text", text_or_empty(text_col))
+        .withColumns({"__base": base, "__weak": weak})
+        .withColumn("__parts", F.concat("__base", "__weak", endpoints))
+        .withColumn("__links", links)
+        .withColumns(
+            {
+                "base_spans": F.transform(F.array_sort("__base"), named),
+                "spans": F.transform(_distinct(F.concat("__base", "__links")), named),
+            }
+        )
+        .drop(*scratch)
     )
 
 
