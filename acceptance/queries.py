@@ -16,7 +16,7 @@ from tierforge.functions import to_timestamp
 from tierforge.plans.checks import key_check
 from tierforge.plans.run import LAYERS
 from tierforge.session import scratch_path
-from tierforge.sinks import preview, publish_table, write_layer
+from tierforge.sinks import preview, publish_table, read_version, write_layer, write_version
 from tierforge.sources import CORRUPT, ingest_all, land_new, read_landed, read_layer, read_table_or_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -509,6 +509,51 @@ def _(spark, sf):
     return read_landed(spark, f"{base}/brz", "bronze_customers").drop(CORRUPT)
 
 
+# Two batches of each source, in the order in which they arrive; a null belongs to the first.
+_LATE = {
+    "silver_orders": "order_purchase_timestamp >= '1995'",
+    "silver_order_items": "order_item_id IN ('2', '4')",
+    "silver_products": "product_id LIKE '%7'",
+}
+
+
+def _merged(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """The late half of the rows first, then the rest, then the late half once more."""
+    spec, base = plans.SILVER[name], scratch_path(spark, "merged")
+    source, *lookups = [views.RAW[part.removeprefix("bronze_")](spark, sf) for part in (spec.source, *spec.lookups)]
+    late = F.coalesce(F.expr(_LATE[name]), F.lit(False))
+    for batch in (source.where(late), source.where(~late), source.where(late)):
+        plans.merge_silver(batch, base, name, buckets=16)
+    return plans.read_merged_silver(spark, base, name, *lookups)
+
+
+for _name in _LATE:
+    query(f"merged_{_name}", f"SELECT * {_DOUBLES.get(_name, '')} FROM {_name}", _name)(
+        lambda spark, sf, name=_name: _merged(spark, sf, name)
+    )
+
+
+@query(
+    "published_versions",
+    """SELECT 1 AS version, o_orderstatus, count(*) AS orders FROM orders WHERE o_orderstatus = 'F' GROUP BY 2
+       UNION ALL SELECT 2, o_orderstatus, count(*) FROM orders GROUP BY 2
+       UNION ALL SELECT 3, o_orderstatus, count(*) FROM orders WHERE o_orderstatus <> 'O' GROUP BY 2""",
+)
+def _(spark, sf):
+    """Three versions of a table, the last of them made from the one before it, read after all were made."""
+    base, orders = scratch_path(spark, "versions"), table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    write_version(orders.where("o_orderstatus = 'F'"), base, "orders")
+    write_version(orders, base, "orders", partition_by=["o_orderstatus"])
+    write_version(read_version(spark, base, "orders").where("o_orderstatus <> 'O'"), base, "orders")
+    versions = [(1, read_version(spark, base, "orders", 1)), (2, read_version(spark, base, "orders", 2))]
+    versions.append((3, read_version(spark, base, "orders")))
+    counted = [
+        df.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("orders")).select(F.lit(number).alias("version"), "*")
+        for number, df in versions
+    ]
+    return reduce(DataFrame.unionByName, counted)
+
+
 @query(
     "bronze_quoted_splits",
     """SELECT CAST(doc_id AS VARCHAR) AS doc_id, text || chr(10) || '"' || lang || '", ' || chr(10) || chr(10) || source AS text,

@@ -8,6 +8,7 @@ from tierforge.plans.gold import (
     review_by_delivery,
     top_products,
 )
+from tierforge.plans.merge import merge_silver, read_merged_silver
 from tierforge.plans.profiles import PROFILES
 from tierforge.plans.run import (
     PipelineResult,
@@ -41,9 +42,11 @@ __all__ = [
     "build_silver_products",
     "build_silver_sellers",
     "delivery_performance",
+    "merge_silver",
     "monthly_revenue",
     "output_check",
     "payment_method",
+    "read_merged_silver",
     "region_revenue",
     "retail_manifest",
     "review_by_delivery",

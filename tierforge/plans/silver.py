@@ -93,10 +93,15 @@ def prepare(table: SilverTable, bronze: DataFrame, money: str = MONEY) -> DataFr
     return table.clean(typed)
 
 
+def passing(table: SilverTable, prepared: DataFrame, judged: bool = False) -> DataFrame:
+    """The prepared rows that break no rule, without the raw text."""
+    raw = [name for name in prepared.columns if name.startswith(_raw(""))]
+    return keep_passing(prepared, table.rules(), judged).drop(*raw)
+
+
 def complete(table: SilverTable, prepared: DataFrame, *lookups: DataFrame, judged: bool = False) -> DataFrame:
     """Rules, de-duplication and lookups over prepared rows; ``judged`` rows carry the outcome of the rules."""
-    raw = [name for name in prepared.columns if name.startswith(_raw(""))]
-    kept = keep_passing(prepared, table.rules(), judged).drop(*raw)
+    kept = passing(table, prepared, judged)
     if table.keys:
         kept = dedupe_latest(kept, table.keys, table.latest_by)
     return table.finish(kept, *lookups)
