@@ -383,6 +383,40 @@ def _(spark, sf):
     )
 
 
+@query(
+    "run_rejects",
+    """SELECT 'silver_orders' AS "table", order_id, NULL AS item, false AS unreadable, 'delivered' AS reasons
+       FROM raw_orders WHERE order_delivered_customer_date IS NULL
+       UNION ALL SELECT 'silver_order_items', order_id, order_item_id, price IS NULL, concat_ws(',',
+              CASE WHEN coalesce(price < 0 OR freight_value < 0, true) THEN 'amounts' END,
+              CASE WHEN product_id IS NULL THEN 'product_id' END, CASE WHEN seller_id IS NULL THEN 'seller_id' END)
+       FROM raw_order_items
+       WHERE coalesce(price < 0 OR freight_value < 0, true) OR product_id IS NULL OR seller_id IS NULL
+       UNION ALL SELECT 'silver_order_payments', CAST(l_orderkey AS VARCHAR), l_linenumber, false, NULL
+       FROM lineitem WHERE l_quantity IN (25, 26)""",
+    "raw_orders",
+    "raw_order_items",
+)
+def _(spark, sf):
+    """The rejected rows that a whole run stores, with the rules they break."""
+    lake_dir = whole_run(spark, sf)[1]
+    names = {
+        "silver_orders": (F.lit(None), F.lit(False)),
+        "silver_order_items": (F.col("order_item_id"), F.col("raw_price") == "n/a"),
+        "silver_order_payments": (F.col("payment_sequential"), F.lit(False)),
+    }
+    found = []
+    for name, (item, unreadable) in names.items():
+        reasons = F.array_join("reject_reasons", ",") if name != "silver_order_payments" else F.lit(None).cast("string")
+        found.append(
+            plans.read_rejects(spark, lake_dir, name).select(
+                F.lit(name).alias("table"), "order_id", item.cast("int").alias("item"),
+                unreadable.alias("unreadable"), reasons.alias("reasons"),
+            )
+        )
+    return reduce(DataFrame.unionByName, found)
+
+
 _SKIPPED = {
     "silver_order_payments": "bronze_order_payments",
     "gold_monthly_revenue": "silver_order_payments",

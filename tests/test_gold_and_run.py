@@ -7,13 +7,16 @@ import pytest
 from pyspark.sql import functions as F
 
 from tierforge.plans import (
+    SILVER,
     delivery_performance,
     monthly_revenue,
     payment_method,
+    read_rejects,
     region_revenue,
     retail_manifest,
     review_by_delivery,
     run_pipeline,
+    run_silver,
     top_products,
 )
 from tierforge.plans.run import _Lake, _run_silver
@@ -207,11 +210,24 @@ def test_whole_run_twice(spark, tmp_path, raw_dir, rows, database):
         assert counted["silver_order_items", "dropped", "amounts"] == 1
         assert counted["silver_order_reviews", "dropped", "score"] == 1
         assert counted["silver_order_payments", "malformed", "payment_value"] == 1
+        # Every rejected row is stored, with what it breaks.
+        for name in SILVER:
+            rejected = read_rejects(spark, lake, name)
+            assert counted[name, "rows_in", ""] == rejected.count() + counted[name, "rows_kept", ""]
+            firsts = sum(value for (table, metric, _), value in counted.items() if table == name and metric == "dropped")
+            assert rejected.where("size(reject_reasons) > 0").count() == firsts
+        assert rows(read_rejects(spark, lake, "silver_orders"), "order_id", "reject_reasons") == [("o5", ["delivered"])]
     if database:
         for name in GOLD:
             spark.sql(f"drop table default.{name}")
 
 
+def test_rejects_change_no_metric(spark, tmp_path, raw_dir, rows):
+    run_pipeline(spark, raw_dir, str(tmp_path / "a"), database=None)
+    kept = run_silver(spark, str(tmp_path / "a"), database=None)
+    assert rows(kept) == rows(run_silver(spark, str(tmp_path / "a"), database=None, keep_rejects=False))
+
+
 def test_double_amounts_give_the_same_reports(spark, tmp_path, raw_dir, rows):
     lake = str(tmp_path / "lake")
     run_pipeline(spark, raw_dir, lake, database=None, money="double")

@@ -110,6 +110,22 @@ def rule_counters(rules: Sequence[Rule], judged: bool = False) -> list[Column]:
     return counters
 
 
+def rejected(judged: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """The judged rows that break a rule, with the names of all that they break in ``REASONS``, in the rules' order."""
+    flags = [_flag(number) for number in range(len(rules))]
+    reasons = F.array_compact(F.array(*[F.when(F.col(f), F.lit(r.name)) for f, r in zip(flags, rules, strict=True)]))
+    return judged.withColumn(REASONS, reasons).drop(*flags).filter(F.size(REASONS) > 0)
+
+
+def reject_counters(rules: Sequence[Rule]) -> list[Column]:
+    """``failed:`` and ``dropped:`` of ``rule_counters``, as aggregates over ``rejected`` rows alone."""
+    counters = []
+    for rule in rules:
+        counters.append(F.count_if(F.array_contains(REASONS, rule.name)).alias(f"failed:{rule.name}"))
+        counters.append(F.count_if(F.col(REASONS)[0] == rule.name).alias(f"dropped:{rule.name}"))
+    return counters
+
+
 def apply_rules(df: DataFrame, rules: Sequence[Rule]) -> RuleOutcome:
     """Splits ``df`` into kept rows and rejects naming every broken rule, and counts both.
 
@@ -118,9 +134,7 @@ def apply_rules(df: DataFrame, rules: Sequence[Rule]) -> RuleOutcome:
     a plan of its own over ``df``; the rules are evaluated once a row in each.
     """
     judged = judge(df, rules)
-    flags = [_flag(number) for number in range(len(rules))]
-    reasons = F.array_compact(F.array(*[F.when(F.col(f), F.lit(r.name)) for f, r in zip(flags, rules, strict=True)]))
-    rejects = judged.withColumn(REASONS, reasons).drop(*flags).filter(F.size(REASONS) > 0)
+    rejects = rejected(judged, rules)
     lines = F.array(
         *[
             F.struct(

@@ -12,6 +12,7 @@ from tierforge.plans.merge import merge_silver, read_merged_silver
 from tierforge.plans.profiles import PROFILES
 from tierforge.plans.run import (
     PipelineResult,
+    read_rejects,
     run_checks,
     run_gold,
     run_pipeline,
@@ -47,6 +48,7 @@ __all__ = [
     "output_check",
     "payment_method",
     "read_merged_silver",
+    "read_rejects",
     "region_revenue",
     "retail_manifest",
     "review_by_delivery",

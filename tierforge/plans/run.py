@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tierforge.functions.casts import MONEY
-from tierforge.operators.quality import judge
+from tierforge.operators.quality import judge, reject_counters
 from tierforge.plans import gold
 from tierforge.plans.bronze import retail_manifest
 from tierforge.plans.checks import TABLE_KEYS, output_check
@@ -19,9 +19,11 @@ from tierforge.plans.profiles import PROFILES
 from tierforge.plans.silver import (
     METRICS_SCHEMA,
     SILVER,
+    cast_counters,
     complete,
     counters,
     prepare,
+    rejects,
     row_counters,
 )
 from tierforge.session import side_by_side
@@ -32,6 +34,9 @@ from tierforge.sources.tables import is_published, layer_path, quoted, read_publ
 # Directory of each layer below the lake.
 LAYERS = {"bronze": "brz", "silver": "slv", "gold": "gld"}
 
+# Directory of the rows that silver rules reject, one table for each silver table.
+REJECTS = "rej"
+
 # What a run reports about itself, below the lake: appended tables with a ``run_id``.
 META = "meta"
 
@@ -95,25 +100,36 @@ class _Lake:
         return self.spark.read.parquet(path).where(F.col("run_id") == run_id).select(*df.columns)
 
 
-def _run_silver(lake: _Lake, name: str, money: str) -> list[tuple[str, str, str, int]]:
-    """Writes one silver table and returns its metrics, counted while writing.
+def _run_silver(lake: _Lake, name: str, money: str, keep_rejects: bool = True) -> list[tuple[str, str, str, int]]:
+    """Writes one silver table and returns its metrics.
 
-    Observed counters can run too high when lost executors make Spark repeat map
+    What casts did is counted while the table is written. Observed counters can run too high when lost executors make Spark repeat map
     tasks. A repeat also adds to ``rows_in``, so that number, compared with the rows
     of the bronze files, tells whether to trust them; if not, they are counted anew. ``rows_out`` is
     counted in the written files; what the rules kept and is not there is ``duplicates``, so
     rows_in = all dropped + duplicates + rows_out.
+
+    With ``keep_rejects`` the rejected rows are written by a second scan of the bronze table (one that wrote both would
+    store the kept rows twice), and the account of the rules is taken from them: few rows, counted exactly.
     """
     table = SILVER[name]
     bronze = lake.spark.read.parquet(lake.path(table.source))
     lookups = [lake.spark.read.parquet(lake.path(lookup)) for lookup in table.lookups]
     observation = Observation(name)
     prepared = judge(prepare(table, bronze, money), table.rules())
-    wanted = [*counters(table, money, judged=True), *row_counters(table)]
+    if keep_rejects:
+        wanted = [F.count(F.lit(1)).alias("rows_in"), *cast_counters(table, money), *row_counters(table)]
+    else:
+        wanted = [*counters(table, money, judged=True), *row_counters(table)]
     lake.write(complete(table, prepared.observe(observation, *wanted), *lookups, judged=True), name)
     counted = dict(observation.get)
     if counted.get("rows_in") != bronze.count():
         counted = prepared.agg(*wanted).first().asDict()
+    if keep_rejects:
+        path = write_layer(rejects(table, prepared), layer_path(lake.base, REJECTS), name)
+        account = [F.count(F.lit(1)).alias("rejected"), *reject_counters(table.rules())]
+        found = lake.spark.read.parquet(path).agg(*account).first().asDict()
+        counted |= {"rows_kept": counted["rows_in"] - found.pop("rejected"), **found}
     counted["rows_out"] = lake.spark.read.parquet(lake.path(name)).count()
     counted["duplicates"] = counted["rows_kept"] - counted["rows_out"]
     return [
@@ -136,13 +152,22 @@ def run_silver(
     money: str = MONEY,
     strict: bool = False,
     threads: int = 4,
+    keep_rejects: bool = True,
 ) -> DataFrame:
-    """Bronze to silver; returns the metrics ``table``, ``metric``, ``item``, ``value``."""
+    """Bronze to silver; returns the metrics ``table``, ``metric``, ``item``, ``value``.
+
+    With ``keep_rejects`` the rows that break a rule are written to ``read_rejects``' tables, with the rules they break.
+    """
     lake = _Lake(spark, lake_dir, database, strict)
-    counted = side_by_side(spark, lambda name: _run_silver(lake, name, money), tables, threads)
+    counted = side_by_side(spark, lambda name: _run_silver(lake, name, money, keep_rejects), tables, threads)
     return spark.createDataFrame(sum(counted, []), METRICS_SCHEMA)
 
 
+def read_rejects(spark: SparkSession, lake_dir: str, table: str) -> DataFrame:
+    """The rows that the last run's rules kept out of the silver ``table``, see ``silver.rejects``."""
+    return spark.read.parquet(layer_path(layer_path(lake_dir, REJECTS), table))
+
+
 def run_gold(
     spark: SparkSession,
     lake_dir: str,
@@ -221,13 +246,14 @@ def run_pipeline(
     money: str = MONEY,
     strict: bool = True,
     threads: int = 4,
+    keep_rejects: bool = True,
 ) -> PipelineResult:
     """Raw CSV files to checked gold tables. Every run replaces all tables it computes.
 
     ``database`` names the catalog database to publish silver and gold tables in;
     ``None`` leaves the catalog alone. ``money`` is ``decimal(18,2)`` or, for amounts
     as approximate numbers, ``double`` or ``float``. Tables of one layer do not depend
-    on each other; ``threads`` of them are computed at a time.
+    on each other; ``threads`` of them are computed at a time. ``keep_rejects`` stores the rejected rows, see ``run_silver``.
 
     With ``strict`` a file that does not land, or a table that cannot be registered, raises. Without, what
     rests on a file that did not land is skipped, listed in ``skipped`` and not ok in ``checks``: tables of an
@@ -242,7 +268,7 @@ def run_pipeline(
     tables = [name for name in SILVER if name not in skipped]
     reports = [name for name in REPORTS if name not in skipped]
     options = {"database": database, "threads": threads, "strict": strict}
-    metrics = run_silver(spark, lake_dir, tables=tables, money=money, **options)
+    metrics = run_silver(spark, lake_dir, tables=tables, money=money, keep_rejects=keep_rejects, **options)
     run_gold(spark, lake_dir, reports=reports, **options)
 
     lake, run_id = _Lake(spark, lake_dir, database), uuid.uuid4().hex

@@ -33,6 +33,7 @@ from tierforge.operators.quality import (
     keep_passing,
     matches,
     not_null,
+    rejected,
     rule_counters,
 )
 from tierforge.sources.raw_csv import CORRUPT
@@ -99,6 +100,13 @@ def passing(table: SilverTable, prepared: DataFrame, judged: bool = False) -> Da
     return keep_passing(prepared, table.rules(), judged).drop(*raw)
 
 
+def rejects(table: SilverTable, judged: DataFrame) -> DataFrame:
+    """The judged rows that break a rule: the silver columns, ``raw_`` and the text of each cast one, whether the row
+    was ``corrupt`` (landed with a wrong number of fields), and the rules it breaks."""
+    renamed = {_raw(name): f"raw_{name}" for name in table.columns} | {_raw(CORRUPT): "corrupt"}
+    return rejected(judged, table.rules()).withColumnsRenamed(renamed)
+
+
 def complete(table: SilverTable, prepared: DataFrame, *lookups: DataFrame, judged: bool = False) -> DataFrame:
     """Rules, de-duplication and lookups over prepared rows; ``judged`` rows carry the outcome of the rules."""
     kept = passing(table, prepared, judged)
@@ -316,12 +324,13 @@ METRICS_SCHEMA = "table string, metric string, item string, value bigint"
 
 
 def counters(table: SilverTable, money: str = MONEY, judged: bool = False) -> list[Column]:
-    """Aggregates over prepared rows, named ``metric:item``.
+    """Aggregates over prepared rows, named ``metric:item``: the reject account of the rules, and ``cast_counters``."""
+    return [*rule_counters(table.rules(), judged), *cast_counters(table, money)]
 
-    The reject account of the rules, the texts that a cast could not read
-    (``malformed``) and the amounts it had to round (``rounded``).
-    """
-    aggregates = rule_counters(table.rules(), judged)
+
+def cast_counters(table: SilverTable, money: str = MONEY) -> list[Column]:
+    """The texts that a cast could not read (``malformed``) and the amounts it had to round (``rounded``)."""
+    aggregates = []
     for name in table.casts(money):
         text = F.col(_raw(name))
         aggregates.append(
