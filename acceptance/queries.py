@@ -15,7 +15,7 @@ from tierforge import plans
 from tierforge.functions import to_timestamp
 from tierforge.plans.checks import key_check
 from tierforge.plans.run import LAYERS
-from tierforge.session import scratch_path
+from tierforge.session import scratch_path, side_by_side
 from tierforge.sinks import preview, publish_table, read_version, write_layer, write_version
 from tierforge.sources import CORRUPT, ingest_all, land_new, read_landed, read_layer, read_table_or_path
 
@@ -246,10 +246,10 @@ def _(spark, sf):
 def raw_files(spark: SparkSession, sf: str, without: str | None = None) -> str:
     """A folder whose ``raw`` holds the files of the manifest."""
     base = scratch_path(spark, "run")
-    for entry in plans.retail_manifest():
-        name = entry.table.removeprefix("bronze_")
-        if name != without:
-            write_csv(views.RAW[name](spark, sf), f"{base}/raw/{entry.file}")
+    files = {entry.table.removeprefix("bronze_"): entry.file for entry in plans.retail_manifest()}
+    write = lambda name: write_csv(views.RAW[name](spark, sf), f"{base}/raw/{files[name]}")
+    # The last tasks of one file share the cluster with the first ones of the next.
+    side_by_side(spark, write, [name for name in files if name != without], 4)
     return base
 
 

@@ -91,3 +91,13 @@ def test_metrics_do_not_depend_on_partitions(spark, rows, cut):
     df = spark.range(100).selectExpr("id", "if(id % 3 = 0, null, id) as k").repartition(cut)
     _, _, metrics = apply_rules(df, [Rule("k", F.col("k").isNotNull())])
     assert rows(metrics) == [("k", 100, 34, 34, 66)]
+
+
+def test_reasons_are_built_for_rejected_rows_only(spark, rows):
+    rules = [Rule("low", F.col("a") > 1), Rule("b", F.col("b").isNotNull())]
+    df = spark.createDataFrame([(1, None), (2, "x"), (None, "y"), (3, None)], "a int, b string")
+    found = apply_rules(df, rules).rejects
+    assert rows(found) == [(1, None, ["low", "b"]), (3, None, ["b"]), (None, "y", ["low"])]
+    executed = found._jdf.queryExecution().optimizedPlan().toString()
+    tests = [line for line in executed.splitlines() if "Filter " in line]
+    assert tests and not any("array" in line for line in tests)

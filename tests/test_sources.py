@@ -220,3 +220,28 @@ def test_failed_write_leaves_the_old_table(spark, tmp_path, rows):
     assert rows(spark.table(name)) == [(2,)] == rows(spark.read.parquet(path))
     assert [p.name for p in tmp_path.iterdir()] == ["pub"]
     spark.sql(f"drop table {name}")
+
+
+def test_headers_and_doubts_are_found_without_sorting_lines(spark, tmp_path, monkeypatch):
+    from tierforge.sources import raw_csv
+
+    (tmp_path / "a.csv").write_text('x,y\n1,2\n3,4\n')
+    (tmp_path / "b.csv").write_text('y,x\n"1\n2",3\n')
+    plans_seen, collect = [], type(spark.range(0)).collect
+    monkeypatch.setattr(
+        type(spark.range(0)), "collect", lambda df: (plans_seen.append(df._jdf.queryExecution().toString()), collect(df))[1]
+    )
+    found = raw_csv._files(spark, str(tmp_path), '"')
+    assert [(f.header, f.doubtful) for f in found] == [("x,y", False), ("y,x", True)]
+    assert "ObjectHashAggregate" in plans_seen[0] and "SortAggregate" not in plans_seen[0]
+
+
+def test_lines_without_quotes_are_judged_as_before(spark):
+    from pyspark.sql import functions as F
+
+    from tierforge.sources.raw_csv import _simple_line
+
+    lines = ["", " ", "  ", " a", "a,b", "a ,", '"a",b', 'a"b', '"a', "a\r", "a\rb", " \r", '"a""b"', "\t"]
+    df = spark.createDataFrame([(line,) for line in lines], "value string")
+    got = {r.value: r.simple for r in df.select("value", _simple_line(F.col("value"), '"').alias("simple")).collect()}
+    assert [line for line in lines if not got[line]] == [" ", "  ", 'a"b', '"a', "a\rb", " \r"]

@@ -32,7 +32,9 @@ def _simple_line(line: Column, escape: str) -> Column:
         whole_fields = ~collapsed.rlike(f"[\"\\r]|[^,{_QUOTED}]{_QUOTED}|{_QUOTED}[^,{_QUOTED}]")
         plain = plain | (~body.contains(_QUOTED) & whole_fields)
     only_blanks = (F.length(body) > 0) & (F.length(F.trim(body)) == 0)
-    return plain & ~only_blanks
+    # Most lines have none of these signs and need no pattern; the rest is evaluated for the others only.
+    bare = ~line.contains('"') & ~line.contains("\r") & ~line.startswith(" ")
+    return F.when(bare, True).otherwise(plain & ~only_blanks)
 
 
 def has_record_per_line(spark: SparkSession, path: str | Sequence[str], escape: str = '"') -> bool:
@@ -60,9 +62,9 @@ def _files(spark: SparkSession, path: str | Sequence[str], escape: str) -> list[
         F.col("_metadata.file_path").alias("file"),
         F.when(F.col("_metadata.file_block_start") == 0, F.monotonically_increasing_id()).alias("place"),
     )
-    facts = lines.groupBy("file").agg(
-        F.min_by("value", "place").alias("header"), F.max(~_simple_line(F.col("value"), escape)).alias("doubtful")
-    )
+    # A set takes part, so that Spark aggregates by hash: for the text alone it would sort all lines by their file.
+    doubts = F.collect_set(F.when(~_simple_line(F.col("value"), escape), True))
+    facts = lines.groupBy("file").agg(F.min_by("value", "place").alias("header"), (F.size(doubts) > 0).alias("doubtful"))
     return sorted(_File(unquote(f.file), f.header.removeprefix("\ufeff").rstrip("\r"), f.doubtful) for f in facts.collect())
 
 
