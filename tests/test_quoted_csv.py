@@ -98,3 +98,15 @@ def test_only_lines_of_longer_records_move(splits, tmp_path):
     path = write(tmp_path / "a.csv", random_file(random.Random(6), "\n"))
     plan = read_quoted_splits(splits, [path], ["id", "text", "c"], CORRUPT)._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan and "multiLine" not in plan.split("FileScan")[1]
+
+
+def test_open_quotes_are_found_without_a_scan_of_their_own(splits, tmp_path, monkeypatch):
+    path = tmp_path / "a.csv"
+    path.write_text('k,t\n' + '1,"a\nb"\n' * 50 + '2,"open\n')
+    plans_seen, collect = [], type(splits.range(0)).collect
+    monkeypatch.setattr(
+        type(splits.range(0)), "collect", lambda df: (plans_seen.append(df._jdf.queryExecution().optimizedPlan().toString()), collect(df))[1]
+    )
+    assert set(regular_files(splits, [str(path)]).values()) == {False}
+    # The lines, and the quotes of every split.
+    assert plans_seen[-1].count("Relation [") == 2
