@@ -164,3 +164,13 @@ def test_silver_by_batches(spark, tmp_path, rows):
     assert merged.dtypes == whole.dtypes and rows(merged) == rows(whole) and whole.count() == 3
     with pytest.raises(ValueError, match="no keys"):
         plans.merge_silver(spark.createDataFrame(lines, schema), str(tmp_path), "silver_order_payments")
+
+
+def test_a_batch_is_dealt_by_bucket_once(spark, tmp_path, monkeypatch):
+    from tierforge.sinks import versions
+
+    written, write = [], versions._bucketed
+    monkeypatch.setattr(versions, "_bucketed", lambda df, path: (written.append(path), write(df, path)))
+    for _ in range(3):
+        merge_latest(spark.createDataFrame(LINES, SCHEMA), str(tmp_path), "t", "k", "t", buckets=4)
+    assert len(written) == 3

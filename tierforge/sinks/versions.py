@@ -23,6 +23,8 @@ from tierforge.sources.tables import layer_path
 
 _COMMITS = "_commits"
 _BUCKET = "__bucket"
+# Fixed value: partitions to a bucket where rows are dealt by bucket.
+_SPREAD = 4
 
 
 class Version(NamedTuple):
@@ -179,17 +181,23 @@ def merge_latest(
     latest = dedupe_latest(batch, keys, order_by, tie_break).withColumn(_BUCKET, bucket)
 
     folder = f"data-{uuid.uuid4().hex}"
-    _bucketed(latest.repartition(buckets, _BUCKET), f"{files.path}/{folder}")
+    # More partitions than buckets: dealt by hash, few of them then hold several buckets.
+    dealt = lambda df, n: df.repartition(_SPREAD * n, _BUCKET)
+    if standing is None:
+        _bucketed(dealt(latest, buckets), f"{files.path}/{folder}")
+    else:
+        # The reduced batch waits in files that are not dealt by bucket, which no version names: rows are dealt once, when they are merged.
+        staged = f"{folder}-staged"
+        latest.write.parquet(f"{files.path}/{staged}")
+        new = _rows(spark, files, latest.schema, [staged])
+        # At most as many rows as there are buckets.
+        touched = sorted(str(row[0]) for row in new.select(_BUCKET).distinct().collect())
+        if touched:
+            old = _rows(spark, files, batch.schema, [standing.folders[name] for name in touched if name in standing.folders])
+            both = dealt(old.withColumn(_BUCKET, bucket).union(new), len(touched))
+            # Dealt by bucket already: ranking needs no shuffle of its own.
+            _bucketed(dedupe_latest(both, [_BUCKET, *keys], order_by, tie_break), f"{files.path}/{folder}")
     folders = _written(files, folder)
-    touched = sorted(folders.keys() & standing.folders.keys()) if standing is not None else []
-    if touched:
-        old = _rows(spark, files, batch.schema, [standing.folders[name] for name in touched])
-        new = _rows(spark, files, batch.schema, [folders[name] for name in touched])
-        both = old.union(new).withColumn(_BUCKET, bucket).repartition(min(buckets, len(touched)), _BUCKET)
-        # Dealt by bucket already: ranking needs no shuffle of its own.
-        merged = dedupe_latest(both, [_BUCKET, *keys], order_by, tie_break)
-        _bucketed(merged, f"{files.path}/{folder}-merged")
-        folders |= _written(files, f"{folder}-merged")
     kept = standing.folders if standing is not None else {}
     return _commit(files, Version(number, {**kept, **folders}, batch.schema, keys, buckets))
 
