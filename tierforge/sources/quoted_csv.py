@@ -12,7 +12,6 @@ for that in its true state; a file with any other line is left to Spark's own re
 from __future__ import annotations
 
 from collections.abc import Sequence
-from typing import NamedTuple
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
@@ -28,16 +27,6 @@ def _earlier_blocks() -> WindowSpec:
     return Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
 
 
-class _Lines(NamedTuple):
-    """``lines``: ``file``, ``block``, ``place`` in it, ``value``, ``before`` and ``after``: inside quotes (1) or not (0).
-
-    ``returns`` tells whether lines of the file end with a carriage return and a line break, ``open`` whether the file leaves a quote open.
-    """
-
-    lines: DataFrame
-    blocks: DataFrame
-
-
 def _physical(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     value = F.col("value")
     first = (F.col("block") == 0) & value.startswith("﻿")
@@ -54,7 +43,11 @@ def _physical(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     )
 
 
-def _lines(spark: SparkSession, paths: Sequence[str]) -> _Lines:
+def _lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """``file``, ``block``, ``place`` in it, ``value``, ``before`` and ``after``: inside quotes (1) or not (0).
+
+    ``returns`` tells whether lines of the file end with a carriage return and a line break, ``open`` whether the file leaves a quote open.
+    """
     physical = _physical(spark, paths)
     blocks = physical.groupBy("file", "block").agg(
         (F.sum("quotes") % 2).alias("parity"), F.min_by(F.col("value").endswith("\r"), "id").alias("returns")
@@ -69,7 +62,7 @@ def _lines(spark: SparkSession, paths: Sequence[str]) -> _Lines:
     before = (F.col("opens") + F.coalesce(sum_before, F.lit(0))) % 2
     lines = placed.withColumns({"place": F.row_number().over(_in_block()), "before": before})
     lines = lines.withColumn("after", (F.col("before") + F.col("quotes")) % 2)
-    return _Lines(lines.drop("quotes", "opens"), blocks)
+    return lines.drop("quotes", "opens")
 
 
 def _regular(value: Column, before: Column, after: Column) -> Column:
@@ -94,10 +87,10 @@ def regular_files(spark: SparkSession, paths: Sequence[str]) -> dict[str, bool]:
     """
     if not paths:
         return {}
-    found = _lines(spark, paths)
+    lines = _lines(spark, paths)
     value = _without_return(F.col("value"))
     first = (F.col("block") == 0) & (F.col("place") == 1)
-    facts = found.lines.groupBy("file").agg(
+    facts = lines.groupBy("file").agg(
         F.bool_or(~_regular(value, F.col("before"), F.col("after"))).alias("odd"),
         F.bool_or(first & ((F.trim(value) == "") | value.contains("\r"))).alias("odd_header"),
         F.bool_or("open").alias("open"),
@@ -117,17 +110,17 @@ def read_quoted_splits(
 
     A record that goes over several lines, or several splits, is put together by the place of its first line.
     """
-    found = _lines(spark, paths)
-    lines = found.lines
+    lines = _lines(spark, paths)
     single = lines.where("before = 0 AND after = 0").where("NOT (block = 0 AND place = 1)").select("file", "value", "returns")
 
     pieces = lines.where("before = 1 OR after = 1")
     so_far = Window.partitionBy("file", "block").orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     own = F.max(F.when(F.col("before") == 0, F.col("place"))).over(so_far)
     # What a split begins with belongs to the last record that was begun in the splits before it.
-    last = pieces.where("before = 0").groupBy("file", "block").agg(F.max("place").alias("last"))
+    # Of every split, as each has a line; those where no longer record begins carry what came before them.
+    last = lines.groupBy("file", "block").agg(F.max(F.when(F.expr("before = 0 AND after = 1"), F.col("place"))).alias("last"))
     carried = F.max(F.when(F.col("last").isNotNull(), F.struct("block", "last"))).over(_earlier_blocks())
-    carried = found.blocks.select("file", "block").join(last, ["file", "block"], "left").select("file", "block", carried.alias("carried"))
+    carried = last.select("file", "block", carried.alias("carried"))
     pieces = pieces.withColumn("own", own).join(carried, ["file", "block"])
     began = F.when(F.col("own").isNotNull(), F.struct("block", F.col("own").alias("last"))).otherwise(F.col("carried"))
     parts = F.array_sort(F.collect_list(F.struct("block", "place", "value")))

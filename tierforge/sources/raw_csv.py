@@ -34,7 +34,8 @@ def _simple_line(line: Column, escape: str) -> Column:
     only_blanks = (F.length(body) > 0) & (F.length(F.trim(body)) == 0)
     # Most lines have none of these signs and need no pattern; the rest is evaluated for the others only.
     bare = ~line.contains('"') & ~line.contains("\r") & ~line.startswith(" ")
-    return F.when(bare, True).otherwise(plain & ~only_blanks)
+    odd = (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1
+    return F.when(bare, True).when(odd, False).otherwise(plain & ~only_blanks)
 
 
 def has_record_per_line(spark: SparkSession, path: str | Sequence[str], escape: str = '"') -> bool:
