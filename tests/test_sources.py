@@ -245,3 +245,49 @@ def test_lines_without_quotes_are_judged_as_before(spark):
     df = spark.createDataFrame([(line,) for line in lines], "value string")
     got = {r.value: r.simple for r in df.select("value", _simple_line(F.col("value"), '"').alias("simple")).collect()}
     assert [line for line in lines if not got[line]] == [" ", "  ", 'a"b', '"a', "a\rb", " \r"]
+
+
+def test_files_with_one_header_are_judged_by_numbers(spark, tmp_path, monkeypatch):
+    """One aggregation by hash over all lines, without their text; the rest sees two rows a file."""
+    from tierforge.sources import raw_csv
+
+    for name, lines in {"a": "x,y\n1,2\n", "b": 'x,y\n"",3\n', "c": 'x,y\n"1\n2",3\n'}.items():
+        (tmp_path / f"{name}.csv").write_text(lines)
+    seen, collect = [], type(spark.range(0)).collect
+    monkeypatch.setattr(
+        type(spark.range(0)), "collect", lambda df: (seen.append(df._jdf.queryExecution().toString()), collect(df))[1]
+    )
+    found = raw_csv._files(spark, str(tmp_path), '"')
+    assert [(f.path[-5:], f.header, f.doubtful) for f in found] == [
+        ("a.csv", "x,y", False),
+        ("b.csv", "x,y", False),
+        ("c.csv", "x,y", True),
+    ]
+    assert len(seen) == 1 and "min_by" not in seen[0]
+
+
+def test_the_usual_header_may_also_be_a_row(spark, tmp_path):
+    """Only where it is the first line of a file is it the file's header; files without lines have none."""
+    from tierforge.sources import raw_csv
+
+    texts = ["x,y\n1,2\n", "y,x\nx,y\n3,4\n", "", "\ufeffx,y\r\n5,6\r\n", "\n\nx,y\n", "y,x\n"]
+    for number, text in enumerate(texts):
+        (tmp_path / f"{number}.csv").write_text(text, newline="")
+    found = raw_csv._files(spark, str(tmp_path), '"')
+    assert [(f.path[-5], f.header) for f in found] == [
+        ("0", "x,y"), ("1", "y,x"), ("3", "x,y"), ("4", ""), ("5", "y,x"),
+    ]
+    assert not any(f.doubtful for f in found)
+
+
+def test_lines_with_empty_quoted_fields_are_simple_without_patterns(spark):
+    from pyspark.sql import functions as F
+
+    from tierforge.sources.raw_csv import _simple_line
+
+    good = ['""', '"",""', 'a,"",b', '"","","","",x', ',"",', '"",', ',""', 'a,"b","",c', '"a""b",""', '"",a\r', '""\r']
+    bad = ['"', '"""', 'a""', '""a', 'a,""b', '"",a"b', '"", "", "x', 'a"",""b', '" ",""x', '"",a\rb', '""\r""']
+    df = spark.createDataFrame([(line,) for line in good + bad], "value string")
+    for escape in ('"', "\\"):
+        simple = df.select("value", _simple_line(F.col("value"), escape).alias("simple"))
+        assert {row.value for row in simple.collect() if row.simple} == (set(good) if escape == '"' else set())

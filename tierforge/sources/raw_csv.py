@@ -35,7 +35,14 @@ def _simple_line(line: Column, escape: str) -> Column:
     # Most lines have none of these signs and need no pattern; the rest is evaluated for the others only.
     bare = ~line.contains('"') & ~line.contains("\r") & ~line.startswith(" ")
     odd = (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1
-    return F.when(bare, True).when(odd, False).otherwise(plain & ~only_blanks)
+    simple = F.when(bare, True)
+    if escape == '"':
+        # Texts that are empty, not missing, stand as two quotes; two rounds find those that stand side by side, too.
+        fields = F.concat(F.lit(","), line, F.lit(","))
+        for _ in range(2):
+            fields = F.replace(fields, F.lit(',"",'), F.lit(",,"))
+        simple = simple.when(~fields.contains('"') & ~line.contains("\r") & ~line.startswith(" "), True)
+    return simple.when(odd, False).otherwise(plain & ~only_blanks)
 
 
 def has_record_per_line(spark: SparkSession, path: str | Sequence[str], escape: str = '"') -> bool:
@@ -56,17 +63,38 @@ class _File(NamedTuple):
 def _files(spark: SparkSession, path: str | Sequence[str], escape: str) -> list[_File]:
     """First line of every file, and whether it holds a line that may not be one record; one pass over the text.
 
+    Files mostly have one header. Where it stands in them is a number, as all that the pass finds out: numbers are
+    aggregated by hash, texts would be line by line. Files with other headers are read once more.
     One row a file reaches the driver, which lists the files anyway.
     """
-    lines = spark.read.text(path, lineSep="\n").select(
-        "value",
-        F.col("_metadata.file_path").alias("file"),
-        F.when(F.col("_metadata.file_block_start") == 0, F.monotonically_increasing_id()).alias("place"),
-    )
-    # A set takes part, so that Spark aggregates by hash: for the text alone it would sort all lines by their file.
-    doubts = F.collect_set(F.when(~_simple_line(F.col("value"), escape), True))
-    facts = lines.groupBy("file").agg(F.min_by("value", "place").alias("header"), (F.size(doubts) > 0).alias("doubtful"))
-    return sorted(_File(unquote(f.file), f.header.removeprefix("\ufeff").rstrip("\r"), f.doubtful) for f in facts.collect())
+
+    def numbered(paths: str | Sequence[str]) -> DataFrame:
+        return spark.read.text(paths, lineSep="\n").select(
+            "value",
+            F.col("_metadata.file_path").alias("file"),
+            F.when(F.col("_metadata.file_block_start") == 0, F.monotonically_increasing_id()).alias("place"),
+        )
+
+    # The first line of some file: should that be another one's header, the files concerned are only read twice.
+    some = next(iter(spark.read.text(path, lineSep="\n").limit(1).toLocalIterator()), None)
+    usual = "" if some is None else some.value
+    doubtful = (~_simple_line(F.col("value"), escape)).alias("doubtful")
+    at = F.when(F.col("value") == usual, F.col("place"))
+    sides = numbered(path).groupBy("file", doubtful).agg(F.min("place").alias("first"), F.min(at).alias("found"))
+    # Two rows a file at most go on to the set.
+    facts = sides.groupBy("file").agg(
+        F.min("first").alias("first"),
+        F.min("found").alias("found"),
+        F.array_contains(F.collect_set("doubtful"), True).alias("doubtful"),
+    ).collect()
+    headers = {f.file: usual for f in facts if f.found == f.first}
+    others = [unquote(f.file) for f in facts if f.file not in headers]
+    if others:
+        # A set takes part, so that Spark aggregates by hash: for the text alone it would sort all lines by their file.
+        by_hash = F.collect_set(F.when(F.col("place") < 0, True)).alias("none")
+        found = numbered(others).groupBy("file").agg(F.min_by("value", "place").alias("header"), by_hash)
+        headers |= {f.file: f.header for f in found.collect()}
+    return sorted(_File(unquote(f.file), headers[f.file].removeprefix("\ufeff").rstrip("\r"), f.doubtful) for f in facts)
 
 
 def read_raw_csv(
