@@ -291,3 +291,13 @@ def test_lines_with_empty_quoted_fields_are_simple_without_patterns(spark):
     for escape in ('"', "\\"):
         simple = df.select("value", _simple_line(F.col("value"), escape).alias("simple"))
         assert {row.value for row in simple.collect() if row.simple} == (set(good) if escape == '"' else set())
+
+
+def test_the_patterns_own_mark_beside_empty_quoted_fields(spark, tmp_path, rows):
+    from tierforge.sources.raw_csv import read_raw_csv
+
+    for name, text in {"a": 'x,y\n\x01,""\n"",b\x01\n', "b": 'x,y\n"c\n\x01",""\nd,\x01\n'}.items():
+        (tmp_path / f"{name}.csv").write_text(text)
+    found = rows(read_raw_csv(spark, str(tmp_path), multiline="auto"))
+    assert found == rows(read_raw_csv(spark, str(tmp_path), multiline=True))
+    assert {row[:2] for row in found} == {("\x01", None), (None, "b\x01"), ("c\n\x01", None), ("d", "\x01")}
