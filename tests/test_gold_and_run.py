@@ -331,3 +331,24 @@ def test_every_row_is_accounted_for_and_stored(spark, tmp_path, raw_dir):
     codes = stored.where("`table` = 'silver_order_payments'")
     assert codes.select("run_id").distinct().count() == 2
     assert codes.where("item like 'code%'").select("item").distinct().count() == 1200
+
+
+def test_long_lists_of_values_are_not_kept_as_dictionaries(spark, tmp_path):
+    """Looking values up in a dictionary larger than the processor's cache takes longer than writing them out."""
+    import pyarrow.parquet as pq
+
+    from tierforge.sinks import write_layer
+
+    df = spark.range(100_000, numPartitions=1).select(
+        F.md5(F.floor(F.col("id") / 5).cast("string")).alias("key"), (F.col("id") % 7).cast("string").alias("code")
+    )
+    path = write_layer(df, str(tmp_path), "layer")
+    assert spark.read.parquet(path).exceptAll(df).isEmpty() and spark.read.parquet(path).count() == 100_000
+    (part,) = (tmp_path / "layer").glob("*.parquet")
+    group = pq.ParquetFile(part).metadata.row_group(0)
+    sizes = {}
+    for column in map(group.column, range(group.num_columns)):
+        listed = column.has_dictionary_page
+        sizes[column.path_in_schema] = column.data_page_offset - column.dictionary_page_offset if listed else 0
+    # 20,000 keys of 32 letters are 720 KB.
+    assert 0 < sizes["code"] < 1_000 and sizes["key"] < 200_000, sizes

@@ -11,6 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tierforge.sources.tables import layer_path, quoted
 
+# Bytes of a column's dictionary in a row group, beyond which its values are written plain. In the default of 1 MB, keys and
+# other long lists of values leave the processor's cache, and take longer to look up, and to read, than to write out.
+DICTIONARY_BYTES = 128 << 10
+
 
 def _write_parquet(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Writes beside ``path`` and moves the finished table there.
@@ -25,7 +29,8 @@ def _write_parquet(df: DataFrame, path: str, partition_by: Sequence[str]) -> Non
     new, old = f"{beside}.new-{run}", f"{beside}.old-{run}"
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     files = hadoop(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    writer = df.write.option("parquet.dictionary.page.size", DICTIONARY_BYTES)
+    writer = writer.partitionBy(*partition_by) if partition_by else writer
     try:
         writer.parquet(new)
     except BaseException:
