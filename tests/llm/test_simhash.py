@@ -92,6 +92,18 @@ def test_linking_against_brute_force(spark, spread, monkeypatch):
             assert (label[v] == label[w]) == (want[i] == want[j])
 
 
+def test_nothing_is_broadcast(spark):
+    """Stored tables are small as files, their variants are not; planned and run, joins are by shuffle."""
+    prints = simhash.stored(spark.range(300).selectExpr("xxhash64(id) as fp", "xxhash64(id) as label"), "t")
+    edges = simhash.stored(spark.range(300).selectExpr("id + 1 as a", "id as b"), "t")
+    docs = spark.range(30).selectExpr("id as doc_id", "cast(id as string) as text")
+    for df in (simhash._far_links(prints), simhash._relabel(prints, edges), near_duplicates(docs)):
+        for _ in range(2):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" in plan and "Broadcast" not in plan
+            df.collect()
+
+
 def test_documents(spark):
     base = " ".join(f"w{i}" for i in range(400))
     texts = TEXTS + [base, base + " tail", base.replace("w7 ", "z "), base, "unrelated words stand here"]

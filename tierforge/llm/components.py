@@ -13,10 +13,10 @@ def _least(edges: DataFrame) -> DataFrame:
     """Every edge ``(a, b)`` with ``m``, the least of ``a`` and all its neighbours.
 
     The least neighbours are found map side first and joined back. Both sides of the join are
-    shuffled, so that the edges of a node with very many neighbours can be split.
+    shuffled, so that the edges of a node with very many neighbours can be split; neither is broadcast.
     """
     neighbours = edges.groupBy("a", spread("a")).agg(F.min("b").alias("least")).select("a", "least")
-    return edges.join(neighbours, "a").select("a", "b", F.least("a", "least").alias("m"))
+    return edges.join(neighbours.hint("merge"), "a").select("a", "b", F.least("a", "least").alias("m"))
 
 
 def connected_components(edges: DataFrame) -> DataFrame:

@@ -78,7 +78,11 @@ def _near_links(prints: DataFrame) -> DataFrame:
 
 
 def _far_links(labelled: DataFrame) -> DataFrame:
-    """Links between labels of fingerprints (``fp``, ``label``) at distance three, or less."""
+    """Links between labels of fingerprints (``fp``, ``label``) at distance three, or less.
+
+    Both sides are shuffled: Spark takes the variants for as many bytes as the fingerprints that they come from, and
+    would broadcast 66 rows for each.
+    """
     low, high = F.lit((1 << 32) - 1).cast("bigint"), F.lit(-(1 << 32)).cast("bigint")
     halves = ((low, range(32), 0), (high, range(32, 64), 1))
 
@@ -93,13 +97,13 @@ def _far_links(labelled: DataFrame) -> DataFrame:
     one, other = keys(False).alias("one"), keys(True).alias("other")
     close = F.bit_count(F.col("one.fp").bitwiseXOR(F.col("other.fp"))) <= RADIUS
     on = [F.col(f"one.{c}") == F.col(f"other.{c}") for c in ("half", "key")]
-    joined = one.join(other, on[0] & on[1] & (F.col("one.label") != F.col("other.label")) & close)
+    joined = one.join(other.hint("merge"), on[0] & on[1] & (F.col("one.label") != F.col("other.label")) & close)
     return joined.select(F.col("one.label").alias("a"), F.col("other.label").alias("b"))
 
 
 def _relabel(labelled: DataFrame, links: DataFrame) -> DataFrame:
     found = stored(connected_components(links), "components")
-    out = labelled.join(found, labelled.label == found.node, "left")
+    out = labelled.join(found.hint("merge"), labelled.label == found.node, "left")
     return out.select(*[c for c in labelled.columns if c != "label"], F.coalesce("component", "label").alias("label"))
 
 
@@ -114,7 +118,8 @@ def near_duplicates(
     has no other. Other columns are ignored. An empty table gives no row. ``keep_key`` adds ``ROW_KEY``
     and ``kept``: true for one row of each component, that of the smallest id.
 
-    All work after the fingerprints is on distinct ones, so copies cost nothing there.
+    All work after the fingerprints is on distinct ones, so copies cost nothing there. All tables grow with ``docs``,
+    so no join broadcasts one, whatever its estimated size.
     """
     rows = keyed(docs, F.col(id_col).alias("doc_id"), F.col(text_col).alias("__text"))
     kinds = ", ".join(f"{name} {kind}" for name, kind in rows.dtypes if name != "__text")
@@ -128,8 +133,8 @@ def near_duplicates(
 
     labelled = stored(labelled, "labels")
     least = labelled.groupBy("label").agg(F.min("first").alias("least"))
-    named = stored(labelled.select("fp", "label").join(least, "label").select("fp", "least"), "named")
-    out = prints.join(named, "fp")
+    named = stored(labelled.select("fp", "label").join(least.hint("merge"), "label").select("fp", "least"), "named")
+    out = prints.join(named.hint("merge"), "fp")
     return out.select(
         "doc_id",
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
