@@ -183,8 +183,8 @@ for _name in sql.SILVER_REPORTS:
 # --- landing, publication and the whole run -----------------------------------------
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    writer = df.write.option("header", True).option("escape", '"')
+def write_csv(df: DataFrame, path: str, **options: str) -> None:
+    writer = df.write.option("header", True).option("escape", '"').options(**options)
     writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
@@ -244,10 +244,18 @@ def _(spark, sf):
 
 
 def raw_files(spark: SparkSession, sf: str, without: str | None = None) -> str:
-    """A folder whose ``raw`` holds the files of the manifest."""
+    """A folder whose ``raw`` holds the files of the manifest.
+
+    They are compressed, but for the reviews: their texts have line breaks, and only plain files are read in splits.
+    """
     base = scratch_path(spark, "run")
     files = {entry.table.removeprefix("bronze_"): entry.file for entry in plans.retail_manifest()}
-    write = lambda name: write_csv(views.RAW[name](spark, sf), f"{base}/raw/{files[name]}")
+    plain, packed = {}, {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
+
+    def write(name: str) -> None:
+        options = plain if name == "order_reviews" else packed
+        write_csv(views.RAW[name](spark, sf), f"{base}/raw/{files[name]}", **options)
+
     # The last tasks of one file share the cluster with the first ones of the next.
     side_by_side(spark, write, [name for name in files if name != without], 4)
     return base

@@ -352,3 +352,61 @@ def test_long_lists_of_values_are_not_kept_as_dictionaries(spark, tmp_path):
         sizes[column.path_in_schema] = column.data_page_offset - column.dictionary_page_offset if listed else 0
     # 20,000 keys of 32 letters are 720 KB.
     assert 0 < sizes["code"] < 1_000 and sizes["key"] < 200_000, sizes
+
+
+def test_layers_are_compressed_by_zstd(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    from tierforge.sinks import write_layer
+
+    df = spark.range(1000, numPartitions=1).selectExpr("id", "cast(id as string) as text")
+    path = write_layer(df, str(tmp_path), "layer")
+    assert sorted(spark.read.parquet(path).collect()) == sorted(df.collect())
+    (part,) = (tmp_path / "layer").glob("*.parquet")
+    group = pq.ParquetFile(part).metadata.row_group(0)
+    assert {group.column(i).compression for i in range(group.num_columns)} == {"ZSTD"}
+
+
+def test_shuffle_files_go_when_items_are_done(spark):
+    """Those of the last item may still be referred to when it ends."""
+    import time
+
+    from tierforge.session import side_by_side
+
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    found = lambda: {name for name in disk.getAllBlocks().mkString(" ").split() if name.startswith("shuffle_")}
+    before, made = found(), []
+
+    def task(parts):
+        spark.range(1000).repartition(parts).write.format("noop").mode("overwrite").save()
+        made.append(found() - before)
+        return parts
+
+    assert side_by_side(spark, task, [3, 5, 7], 1) == [3, 5, 7] and all(made)
+    until = time.time() + 30
+    while (left := found() & made[0]) and time.time() < until:
+        time.sleep(0.2)
+    assert not left
+
+
+def test_raw_files_of_a_run_are_compressed_where_lines_are_records(spark, monkeypatch):
+    from pathlib import Path
+
+    from acceptance import queries
+    from tierforge.sources import CORRUPT, read_raw_csv
+
+    rows = [(f"k{i}", None if i % 3 else f'say "{i}", so', "  x ") for i in range(200)]
+    lines = [(key, f"{key}\nnext line", end) for key, _, end in rows]
+    frames = {
+        name: spark.createDataFrame(lines if name == "order_reviews" else rows, "a string, b string, c string")
+        for name in queries.views.RAW
+    }
+    monkeypatch.setattr(queries.views, "RAW", {name: lambda spark, sf, df=df: df for name, df in frames.items()})
+    base = queries.raw_files(spark, "unused")
+    for entry in retail_manifest():
+        name = entry.table.removeprefix("bronze_")
+        parts = [p.name for p in Path(f"{base}/raw/{entry.file}").glob("part-*")]
+        assert parts and all(p.endswith(".csv" if name == "order_reviews" else ".csv.gz") for p in parts)
+        got = read_raw_csv(spark, f"{base}/raw/{entry.file}", multiline="auto").collect()
+        assert all(row[CORRUPT] is None for row in got)
+        assert sorted((tuple(row)[:3] for row in got), key=str) == sorted(map(tuple, frames[name].collect()), key=str)

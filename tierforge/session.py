@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable
@@ -58,12 +59,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{folder}/{name}"
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Has Spark delete the shuffle files of queries that nothing refers to any more.
+
+    Spark deletes them when the driver's garbage is collected, which a driver with memory to spare puts off: the
+    shuffles of a whole run would lie on the executors' disks together.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def side_by_side(
     spark: SparkSession, task: Callable[[Any], Any], items: Iterable[Any], threads: int
 ) -> list:
     """Results of ``task`` for independent ``items``, whose Spark jobs may overlap.
 
-    A table's last tasks then share the cluster with the next table's first ones.
+    A table's last tasks then share the cluster with the next table's first ones. What an item shuffled is
+    released when it, or the next one, is done.
     """
+
+    def released(item: Any) -> Any:
+        try:
+            return task(item)
+        finally:
+            release_shuffles(spark)
+
     with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
-        return list(pool.map(inheritable_thread_target(spark)(task), items))
+        return list(pool.map(inheritable_thread_target(spark)(released), items))

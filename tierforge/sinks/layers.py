@@ -15,6 +15,9 @@ from tierforge.sources.tables import layer_path, quoted
 # other long lists of values leave the processor's cache, and take longer to look up, and to read, than to write out.
 DICTIONARY_BYTES = 128 << 10
 
+# A lake holds every row in bronze and in silver; against Spark's default, snappy, this takes a third off.
+COMPRESSION = "zstd"
+
 
 def _write_parquet(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Writes beside ``path`` and moves the finished table there.
@@ -29,7 +32,7 @@ def _write_parquet(df: DataFrame, path: str, partition_by: Sequence[str]) -> Non
     new, old = f"{beside}.new-{run}", f"{beside}.old-{run}"
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     files = hadoop(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    writer = df.write.option("parquet.dictionary.page.size", DICTIONARY_BYTES)
+    writer = df.write.option("parquet.dictionary.page.size", DICTIONARY_BYTES).option("compression", COMPRESSION)
     writer = writer.partitionBy(*partition_by) if partition_by else writer
     try:
         writer.parquet(new)
