@@ -58,6 +58,16 @@ def test_index_is_bucketed_and_not_shuffled(spark, index):
     assert "SortMergeJoin" in physical and physical.count("Exchange hashpartitioning") == 1
 
 
+def test_rows_meet_their_groups_by_shuffle(spark, index):
+    """Groups grow with the rows, however small their files are."""
+    docs = spark.range(300).selectExpr("id as doc_id", "cast(id % 200 as string) as text")
+    out = exact_dedup(docs, index)
+    for _ in range(2):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+        assert sum(r.kept for r in out.collect()) == 200
+
+
 def test_empty_table(spark, index):
     assert exact_dedup(spark.createDataFrame([], "doc_id long, text string"), index).count() == 0
 

@@ -108,7 +108,7 @@ def exact_dedup(
     added to the index in about as many equal shares, smaller ids first; the result is the same.
 
     Groups are counted map side first, so a text that a third of all rows share costs
-    no more than others; the last join lies directly on two shuffles, which AQE can split.
+    no more than others; the last join lies directly on two shuffles, which AQE can split, and broadcasts nothing.
     """
     digests = stored(
         keyed(
@@ -135,7 +135,7 @@ def exact_dedup(
             F.max("is_new").alias("is_new"),
         )
         resolved = stored(whole, "whole")
-    out = digests.join(resolved, "digest")
+    out = digests.join(resolved.hint("merge"), "digest")
     return out.select(
         "doc_id",
         "keep_id",
